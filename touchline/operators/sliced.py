@@ -1,0 +1,129 @@
+"""Ordered scans per key that never gather a whole key in one task.
+
+A key is cut into slices that follow its order (a day, a month, a value of the leading sort
+column). Each slice is scanned on its own; what the earlier slices contribute arrives as one
+*carry row* placed in front of the slice. Slice totals are pre-aggregated map-side, so the
+per-key window over them only sees one row per slice. ``slice_by`` must be monotone in the order
+and fine enough that one slice of one key fits a task.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+_BEFORE = (Window.unboundedPreceding, -1)
+_UP_TO = (Window.unboundedPreceding, 0)
+
+
+def running_totals(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    slice_by: Column,
+    sums: Mapping[str, str] | None = None,
+    row_number: str | None = None,
+    descending: bool = False,
+) -> DataFrame:
+    """Running sums ``{output: input}`` and the running row number of each key.
+
+    Same result as ``sum(x) over (partition by keys order by order rows unbounded preceding)``,
+    including NULL until the first non-NULL input.
+    """
+    sums = dict(sums or {})
+    steps = {f"_m{i}": F.col(c) for i, c in enumerate(sums.values())}
+    steps["_n"] = F.lit(1).cast("bigint")
+    rows = df.withColumn("_slice", slice_by).withColumns(steps)
+    slice_order = F.col("_slice").desc_nulls_last() if descending else F.col("_slice").asc_nulls_first()
+    totals = rows.groupBy(*keys, "_slice").agg(*[F.sum(m).alias(m) for m in steps])
+    before = Window.partitionBy(*keys).orderBy(slice_order).rowsBetween(*_BEFORE)
+    carry = totals.select(*keys, "_slice", *[F.sum(m).over(before).alias(m) for m in steps])
+    scan = (
+        Window.partitionBy(*keys, "_slice").orderBy(F.col("_carry").desc(), *order).rowsBetween(*_UP_TO)
+    )
+    stacked = rows.withColumn("_carry", F.lit(0)).unionByName(
+        carry.withColumn("_carry", F.lit(1)), allowMissingColumns=True
+    )
+    outputs = {name: F.sum(m).over(scan) for name, m in zip(sums, steps)}
+    if row_number:
+        outputs[row_number] = F.sum("_n").over(scan)
+    return stacked.withColumns(outputs).filter(F.col("_carry") == 0).drop("_slice", "_carry", *steps)
+
+
+def rank_within(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    slice_by: Column,
+    rank_col: str = "position",
+    descending: bool = True,
+) -> DataFrame:
+    """Row number of each key's rows in ``order``; slices follow the leading sort column."""
+    return running_totals(df, keys, order, slice_by, row_number=rank_col, descending=descending)
+
+
+def as_of_join(
+    probes: DataFrame,
+    facts: DataFrame,
+    keys: Sequence[str],
+    probe_time: str,
+    fact_time: str,
+    slice_of: Callable[[Column], Column],
+    tie_break: Sequence[str] = (),
+) -> DataFrame:
+    """Every probe with the latest fact of its key at ``fact_time <= probe_time`` (NULLs if none).
+
+    ``tie_break`` orders facts of one time, the largest wins. Linear in probes + facts: no pair of
+    a probe and a fact is formed.
+    """
+    payload = [c for c in facts.columns if c not in keys]
+    packed = F.struct(*payload)
+    moved = facts.select(
+        *keys,
+        F.col(fact_time).alias("_t"),
+        F.struct(F.col(fact_time), *tie_break).alias("_tie"),
+        packed.alias("_fact"),
+    ).withColumn("_slice", slice_of(F.col("_t")))
+    asked = probes.withColumn("_t", F.col(probe_time)).withColumn("_slice", slice_of(F.col("_t")))
+    last_of_slice = moved.groupBy(*keys, "_slice").agg(F.max_by("_fact", "_tie").alias("_fact"))
+    touched = last_of_slice.unionByName(
+        asked.select(*keys, "_slice").distinct(), allowMissingColumns=True
+    ).groupBy(*keys, "_slice").agg(F.first("_fact", ignorenulls=True).alias("_fact"))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*_BEFORE)
+    carry = touched.select(*keys, "_slice", F.last("_fact", ignorenulls=True).over(before).alias("_fact"))
+    parts = [
+        carry.withColumn("_kind", F.lit(0)),
+        moved.withColumn("_kind", F.lit(1)),
+        asked.withColumn("_kind", F.lit(2)),
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    # the carry row first, then time order with facts ahead of probes of the same instant
+    scan = (
+        Window.partitionBy(*keys, "_slice")
+        .orderBy((F.col("_kind") == 0).desc(), F.col("_t").asc(), F.col("_kind").asc(), F.col("_tie").asc())
+        .rowsBetween(*_UP_TO)
+    )
+    found = stacked.withColumn("_found", F.last("_fact", ignorenulls=True).over(scan)).filter(F.col("_kind") == 2)
+    return found.select(*probes.columns, *[F.col("_found")[c].alias(c) for c in payload])
+
+
+def valid_at_join(
+    probes: DataFrame,
+    history: DataFrame,
+    keys: Sequence[str],
+    probe_time: str,
+    valid_from: str,
+    valid_to: str,
+    slice_of: Callable[[Column], Column],
+) -> DataFrame:
+    """The version of each key valid at the probe time.
+
+    Versions of one key must not overlap, so the latest one started is the only candidate.
+    Probes without a valid version are dropped, as in an inner interval join.
+    """
+    joined = as_of_join(probes, history, keys, probe_time, valid_from, slice_of)
+    open_or_later = F.col(valid_to).isNull() | (F.col(valid_to) > F.col(probe_time))
+    return joined.filter(F.col(valid_from).isNotNull() & open_or_later)
