@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from touchline.constants import FALLBACK, PRIMARY, SECONDARY, SECONDARY_ID_OFFSET, TERTIARY
 from touchline.functions.text import normalize_name, unescape_apostrophe
 from touchline.operators.joins import first_match, union_distinct, with_one_row
+from touchline.operators.lineage import cut_lineage
 from touchline.operators.ranking import latest_per_key, pick_by_priority, unique_name_index
 
 
@@ -209,32 +210,35 @@ def player_team_season(
 ) -> DataFrame:
     """One row per (player, season) with team, provenance and the stats of both sources.
 
-    The three branches share the key (player_id, season), so the joins keep one partitioning.
-    Pass materialised ``players`` / staging tables: they are read several times.
+    The sources hold at most one row per (player, season), so V10's priority pick is two full outer
+    joins on that key instead of a union and a window. The joined statistics are materialised
+    once: they give the current season and the rows. Pass a materialised ``players`` table, it is
+    read for ids, names and rosters.
     """
-    sec = match_secondary(secondary, players_df, player_name_map)
-    ter = match_tertiary(tertiary, players_df, player_name_map)
-    current = current_season(season_universe(sec, ter))
-    resolved = resolve_by_priority(sec, ter, roster_fallback(players_df, current))
     keys = ["player_id", "season"]
-    sec_stats = sec.select(
-        *keys, "apps", "minutes", F.col("goals").alias("understat_goals"), "assists", "xg", "xa", "xg90", "xa90",
-        F.col("team_id").alias("_sec_team"), F.lit(True).alias("_in_sec"),
+    sec = match_secondary(secondary, players_df, player_name_map).select(
+        *keys, F.struct("team_id", "league", "apps", "minutes", "goals", "assists", "xg", "xa", "xg90", "xa90").alias("s")
     )
-    ter_stats = ter.select(
-        *keys, F.col("goals").alias("statbunker_goals"), F.col("team_id").alias("_ter_team"),
-        F.lit(True).alias("_in_ter"),
+    ter = match_tertiary(tertiary, players_df, player_name_map).select(
+        *keys, F.struct("team_id", "league", "goals").alias("t")
     )
+    stats = cut_lineage(sec.join(ter, keys, "full_outer"))
+    roster = roster_fallback(players_df, current_season(stats)).select(*keys, F.struct("team_id", "league").alias("f"))
+    joined = stats.join(roster, keys, "full_outer")
+    by_source = [("s", SECONDARY), ("t", TERTIARY), ("f", FALLBACK)]
+
+    def winner(value) -> Column:
+        return F.coalesce(*[F.when(F.col(f"{c}.team_id").isNotNull(), value(c, label)) for c, label in by_source])
+
     registered = players_df.select("player_id", F.col("team_id").alias("parent_team_id"))
-    both = F.col("_in_sec") & F.col("_in_ter")
-    differs = ~F.col("_sec_team").eqNullSafe(F.col("_ter_team"))
-    return (
-        resolved.join(sec_stats, keys, "left")
-        .join(ter_stats, keys, "left")
-        .join(registered, "player_id", "left")
-        .select(
-            *keys, "league", "team_id", "resolved_via", "parent_team_id",
-            F.coalesce(both & differs, F.lit(False)).alias("source_disagreement"),
-            "apps", "minutes", "understat_goals", "assists", "xg", "xa", "xg90", "xa90", "statbunker_goals",
-        )
-    )
+    both = F.col("s").isNotNull() & F.col("t").isNotNull()
+    resolved = joined.select(
+        *keys,
+        winner(lambda c, label: F.col(f"{c}.league")).alias("league"),
+        winner(lambda c, label: F.col(f"{c}.team_id")).alias("team_id"),
+        winner(lambda c, label: F.lit(label)).alias("resolved_via"),
+        (both & ~F.col("s.team_id").eqNullSafe(F.col("t.team_id"))).alias("source_disagreement"),
+        "s.apps", "s.minutes", F.col("s.goals").alias("understat_goals"), "s.assists", "s.xg", "s.xa", "s.xg90",
+        "s.xa90", F.col("t.goals").alias("statbunker_goals"),
+    ).filter("team_id is not null")
+    return resolved.join(registered, "player_id", "left")
