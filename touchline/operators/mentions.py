@@ -78,7 +78,9 @@ def resolve_mentions(
     clustered = spans.withColumn("_opens", opens).withColumn(
         "_cluster", F.sum("_opens").over(so_far.rowsBetween(Window.unboundedPreceding, 0))
     )
-    span = F.struct(F.col("width"), F.col("start").cast("int"), F.col("stop").cast("int"), "alias", "entity")
+    span = F.struct(
+        F.col("width"), F.col("start").cast("int").alias("start"), F.col("stop").cast("int").alias("stop"), "alias", "entity"
+    )
     by_length = F.array_sort(F.collect_list(F.struct((-F.col("width")).alias("w"), "start", "alias", "entity", span.alias("span"))))
     kept = clustered.groupBy("key", "_cluster").agg(
         _keep_longest(F.transform(by_length, lambda s: s["span"])).alias("kept")

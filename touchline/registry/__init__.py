@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from touchline.registry import base
-from touchline.registry import identity, matches  # noqa: F401  (importing registers the queries)
+from touchline.registry import history, identity, matches, quality, relational, scalars, search, textlog  # noqa: F401  (importing registers the queries)
 
 QUERIES = base.QUERIES
 ORACLES = base.ORACLES
