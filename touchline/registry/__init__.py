@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from touchline.registry import base
-from touchline.registry import history, identity, matches, quality, relational, scalars, search, textlog  # noqa: F401  (importing registers the queries)
+from touchline.registry import (  # noqa: F401  (importing registers the queries)
+    documents, history, identity, matches, quality, relational, scalars, search, textlog,
+)
 
 QUERIES = base.QUERIES
 ORACLES = base.ORACLES

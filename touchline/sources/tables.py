@@ -20,8 +20,16 @@ def read_jdbc(
 
 
 def replace_table(df: DataFrame, table: str) -> None:
-    """Full replace of a catalog table (a new snapshot where the catalog keeps them)."""
-    df.writeTo(table).createOrReplace()
+    """Full replace of a table, a new snapshot where its catalog is a lakehouse catalog.
+
+    A name without a configured catalog is a table of the session catalog and is overwritten there.
+    """
+    spark = df.sparkSession
+    catalog = table.split(".")[0]
+    if spark.conf.get(f"spark.sql.catalog.{catalog}", None):
+        df.writeTo(table).createOrReplace()
+    else:
+        df.write.mode("overwrite").saveAsTable(table)
 
 
 def materialize(df: DataFrame, table: str, as_view: bool = False) -> None:
