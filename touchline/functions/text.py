@@ -39,7 +39,8 @@ def unaccent(c: Column | str) -> Column:
     for letter, folded in LETTER_FOLDS.items():
         if len(folded) > 1:
             out = F.replace(out, F.lit(letter), F.lit(folded))
-    return out
+    # plain ASCII has one byte per character and needs no folding
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(out)
 
 
 def unescape_apostrophe(c: Column | str) -> Column:

@@ -88,12 +88,17 @@ def as_of_join(
         packed.alias("_fact"),
     ).withColumn("_slice", slice_of(F.col("_t")))
     asked = probes.withColumn("_t", F.col(probe_time)).withColumn("_slice", slice_of(F.col("_t")))
-    last_of_slice = moved.groupBy(*keys, "_slice").agg(F.max_by("_fact", "_tie").alias("_fact"))
-    touched = last_of_slice.unionByName(
-        asked.select(*keys, "_slice").distinct(), allowMissingColumns=True
-    ).groupBy(*keys, "_slice").agg(F.first("_fact", ignorenulls=True).alias("_fact"))
+    # one row per slice: its last fact, and whether a probe asks for what came before it
+    facts_by_slice = moved.groupBy(*keys, "_slice").agg(F.max_by("_fact", "_tie").alias("_fact"))
+    touched = (
+        facts_by_slice.withColumn("_asked", F.lit(False))
+        .unionByName(asked.select(*keys, "_slice", F.lit(True).alias("_asked")).distinct(), allowMissingColumns=True)
+        .groupBy(*keys, "_slice")
+        .agg(F.first("_fact", ignorenulls=True).alias("_fact"), F.bool_or("_asked").alias("_asked"))
+    )
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(*_BEFORE)
-    carry = touched.select(*keys, "_slice", F.last("_fact", ignorenulls=True).over(before).alias("_fact"))
+    carried = F.last("_fact", ignorenulls=True).over(before)
+    carry = touched.select(*keys, "_slice", "_asked", carried.alias("_fact")).filter("_asked").drop("_asked")
     parts = [
         carry.withColumn("_kind", F.lit(0)),
         moved.withColumn("_kind", F.lit(1)),

@@ -51,7 +51,7 @@ def stage_matches(spark, sf):
         named_struct('id', l_orderkey + 1, 'matchday', int(null), 'status', l_linestatus, 'utcDate', {stamp},
           'homeTeam', named_struct('id', l_partkey), 'awayTeam', named_struct('id', l_suppkey),
           'score', named_struct('fullTime', named_struct('home', int(null), 'away', 2))))))"""
-    bronze = _bronze(table(spark, sf, "lineitem"), PRIMARY, "matches", payload, _YEAR_SEASON, "l_returnflag", "l_shipdate")
+    bronze = _bronze(table(spark, sf, "lineitem", heavy=True), PRIMARY, "matches", payload, _YEAR_SEASON, "l_returnflag", "l_shipdate")
     return _comparable(staging.primary_matches(bronze))
 
 
@@ -63,7 +63,7 @@ def stage_squads(spark, sf):
         named_struct('id', c_custkey, 'name', c_name, 'position', 'Defence', 'dateOfBirth', string(date_add(date'1990-01-01', int(c_custkey % 5000))),
           'nationality', 'X', 'shirtNumber', c_custkey % 99),
         named_struct('id', c_custkey + 1, 'name', string(null), 'position', string(null), 'dateOfBirth', string(null), 'nationality', string(null), 'shirtNumber', bigint(null))))))"""
-    bronze = _bronze(table(spark, sf, "customer"), PRIMARY, "players", payload, "string(null)", "c_mktsegment", "timestamp_ntz'2024-01-01'")
+    bronze = _bronze(table(spark, sf, "customer", heavy=True), PRIMARY, "players", payload, "string(null)", "c_mktsegment", "timestamp_ntz'2024-01-01'")
     return _comparable(staging.primary_players(bronze))
 
 
@@ -78,7 +78,7 @@ _STANDINGS_PAYLOAD = """to_json(named_struct('standings', array(
 
 
 def _standings_docs(spark, sf):
-    return _bronze(table(spark, sf, "part"), PRIMARY, "standings", _STANDINGS_PAYLOAD, "p_brand", "p_type", "timestamp_ntz'2024-01-01'")
+    return _bronze(table(spark, sf, "part", heavy=True), PRIMARY, "standings", _STANDINGS_PAYLOAD, "p_brand", "p_type", "timestamp_ntz'2024-01-01'")
 
 
 @query("stage_standings", """SELECT p_brand AS season, p_type AS league, TIMESTAMP '2024-01-01' AS ingestion_time, p_partkey AS team_id, p_name AS team_name, p_type AS team_short_name, p_brand AS team_tla, p_size::BIGINT AS position,
@@ -120,7 +120,7 @@ _TABLE_CELLS = """'rank', string(l_linenumber), 'team', s_name, 'played', string
 
 def _table_docs(spark, sf, source: str, cells: str) -> DataFrame:
     names = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-    rows = table(spark, sf, "lineitem").join(names, "l_suppkey")
+    rows = table(spark, sf, "lineitem", heavy=True).join(names, "l_suppkey")
     return _bronze(rows, source, "standings", f"to_json(array(named_struct({_TABLE_CELLS}, {cells})))", "l_linestatus", "l_returnflag", "l_shipdate")
 
 
@@ -149,7 +149,7 @@ def stage_secondary_players(spark, sf):
         'games', string(o_orderkey % 39), 'time', string(o_orderkey % 3000), 'goals', string(o_orderkey % 31), 'assists', string(o_orderkey % 17),
         'xG', string(decimal((o_orderkey % 5000)) / 100), 'xA', '0.5', 'position', case o_orderstatus when 'F' then 'GK S' when 'O' then 'F M' else 'S' end)))"""
     names = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("o_custkey"), "s_name")
-    rows = table(spark, sf, "orders").join(names, "o_custkey", "left")
+    rows = table(spark, sf, "orders", heavy=True).join(names, "o_custkey", "left")
     bronze = _bronze(rows, SECONDARY, "player_stats", payload, "concat(year(o_orderdate), '-', year(o_orderdate) + 1)", "o_orderstatus", "o_orderdate")
     c = table(spark, sf, "customer")
     fixed = c.filter("c_acctbal > 5000").select(F.col("c_custkey").alias("understat_id"), F.lit("1997-1998").alias("season"), F.col("c_nationkey").cast("bigint").alias("team_id"))
@@ -168,7 +168,7 @@ def _event_docs(spark, sf) -> DataFrame:
     k, u = json_field("props", "$.k", "string"), F.col("user_id").cast("string")
     one = F.concat(F.lit('{"k": '), k, F.lit(', "u": '), u, F.lit("}"))
     other = F.concat(F.lit('{ "u":'), u, F.lit(',"k":'), k, F.lit("}"))
-    return table(spark, sf, "events").select(
+    return table(spark, sf, "events", heavy=True).select(
         F.col("event_id").alias("rel_path"), F.col("event_type").alias("source"), F.lit("matches").alias("entity_type"),
         F.when(F.col("event_type") == "error", F.substring(one, 1, 7)).when(F.col("event_id") % 2 == 0, one).otherwise(other).alias("payload"),
         F.concat(F.when(F.col("user_id") < 20, "PL_x").otherwise("PL_2024"), F.lit("_1.json")).alias("file_name"), "value",
@@ -231,7 +231,7 @@ def page_league_rows(spark, sf):
     link = "if(p_size > 10, concat('<a href=\"/club?x=1&amp;club_id=', p_partkey, '#t\"><p> ', p_name, ' </p></a>'), concat('<p>', p_name, '</p>'))"
     row = _td("p_size", link, *[f"'{v}'" for v in (" 1 ", 2, 3, 4, 5, 6, -1, 9)])
     html = f"concat({_DECOY}, '<table class=\"big table\"><thead><tr><td>h</td></tr></thead><tbody><tr>', {row}, '</tr><tr><td>short</td></tr></tbody></table>')"
-    docs = table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), F.expr(html).alias("html"))
+    docs = table(spark, sf, "part", heavy=True).select(F.col("p_partkey").alias("page_id"), F.expr(html).alias("html"))
     return _comparable(pages.league_rows(docs))
 
 
@@ -239,7 +239,7 @@ def page_league_rows(spark, sf):
 def page_scorer_rows(spark, sf):
     row = _td("concat('<p>', c_name, '</p>')", "c_nationkey", *[f"'{v}'" for v in ("-", 2, 3, 4, 5, 6)])
     html = f"concat('<table class=\"table\"><tbody><tr>', {row}, '</tr><tr>', {row.replace('<p>', '<b>')}, '</tr></tbody></table>')"
-    docs = table(spark, sf, "customer").select(F.col("c_custkey").alias("page_id"), F.col("c_mktsegment").alias("team"), F.expr(html).alias("html"))
+    docs = table(spark, sf, "customer", heavy=True).select(F.col("c_custkey").alias("page_id"), F.col("c_mktsegment").alias("team"), F.expr(html).alias("html"))
     return _comparable(pages.scorer_rows(docs))
 
 
@@ -250,14 +250,14 @@ def page_expected_goals(spark, sf):
     xpts = "if(o_orderstatus = 'F', '7.25<sup>-0.4</sup>', '7.25')"
     row = _td("'1'", "concat('<a href=\"t\">', o_orderpriority, '</a>')", *[f"'{v}'" for v in (2, 3, 4, 5, 6, 7, 8)], xg, "'-3.5'", xpts)
     html = f"concat('<table><tbody><tr>', {row}, '</tr></tbody></table>', {_DECOY})"
-    docs = table(spark, sf, "orders").select(F.col("o_orderkey").alias("page_id"), F.expr(html).alias("html"))
+    docs = table(spark, sf, "orders", heavy=True).select(F.col("o_orderkey").alias("page_id"), F.expr(html).alias("html"))
     return _comparable(pages.expected_goal_rows(docs))
 
 
 @query("page_tables", "SELECT page_id, CAST(0 AS BIGINT) AS row_no FROM pages WHERE html LIKE '%<table%<tbody%<tr%'")
 def page_tables(spark, sf):
     """The crawled pages themselves; the generated ones carry no tables."""
-    return _comparable(pages.table_cells(table(spark, sf, "pages").select("page_id", "html")).select("page_id", "row_no"))
+    return _comparable(pages.table_cells(table(spark, sf, "pages", heavy=True).select("page_id", "html")).select("page_id", "row_no"))
 
 
 @query("page_player_array", "SELECT s_suppkey AS page_id, CASE WHEN s_acctbal > 0 THEN '[{\"id\":' || s_suppkey || ',\"name\":\"' || s_name || '\"}]' ELSE '[]' END AS players FROM supplier")

@@ -11,12 +11,12 @@ from touchline.registry.base import query, table
 
 @query("normalize_names", """SELECT doc_id, md5(regexp_replace(lower(replace(replace(strip_accents(replace(text, '&#039;', '''')), 'ß', 'ss'), 'ø', 'o')), '[^a-z0-9]+', ' ', 'g')) AS norm_md5 FROM documents""")
 def normalize_names(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(text.normalize_name("text")).alias("norm_md5"))
+    return table(spark, sf, "documents", heavy=True).select("doc_id", F.md5(text.normalize_name("text")).alias("norm_md5"))
 
 
 @query("unaccent_text", "SELECT conv_id, turn, replace(strip_accents(text), 'ß', 'ss') AS folded FROM conversations")
 def unaccent_text(spark, sf):
-    return table(spark, sf, "conversations").select("conv_id", "turn", text.unaccent("text").alias("folded"))
+    return table(spark, sf, "conversations", heavy=True).select("conv_id", "turn", text.unaccent("text").alias("folded"))
 
 
 @query("position_map", """SELECT p_partkey, CASE WHEN p_type LIKE 'M%' THEN 'Midfield' WHEN code LIKE 'GK%' THEN 'Goalkeeper' WHEN code LIKE 'D%' THEN 'Defence' WHEN code LIKE 'F%' THEN 'Offence' END AS position
@@ -30,7 +30,7 @@ def position_map(spark, sf):
 @query("per90", """SELECT l_orderkey, l_linenumber, l_extendedprice, CASE WHEN minutes > 0 THEN ((cents * 1800 + minutes) // (2 * minutes)) / 1000.0 END AS rate
     FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, CAST(l_quantity AS BIGINT) - 1 AS minutes FROM lineitem)""")
 def per90(spark, sf):
-    rows = table(spark, sf, "lineitem")
+    rows = table(spark, sf, "lineitem", heavy=True)
     value = F.round(F.col("l_extendedprice") * 100).cast("decimal(20,0)") / F.lit(100)
     rate = numbers.per90(value, F.col("l_quantity").cast("bigint") - 1)
     return rows.select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_extendedprice", rate.cast("double").alias("rate"))
@@ -92,14 +92,14 @@ _SQL_GRAMS = """list_distinct(flatten(list_transform(list_filter(regexp_split_to
     SELECT o_orderkey, round(shared / (len(a) + len(b) - shared), 6) AS similarity FROM s""")
 def similarity_rows(spark, sf):
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
-    rows = table(spark, sf, "orders").join(c, "o_custkey")
+    rows = table(spark, sf, "orders", heavy=True).join(c, "o_custkey")
     score = text.similarity(F.concat_ws(" ", "c_name", "c_mktsegment"), F.concat_ws(" ", "o_orderpriority", "c_mktsegment"))
     return rows.select("o_orderkey", F.round(score.cast("double"), 6).alias("similarity"))
 
 
 @query("html_unescape", "SELECT conv_id, turn, replace(role || '&#039;' || text, '&#039;', '''') AS plain, lower(trim('  ' || role || ' ')) AS role FROM conversations")
 def html_unescape(spark, sf):
-    return table(spark, sf, "conversations").select(
+    return table(spark, sf, "conversations", heavy=True).select(
         "conv_id", "turn", text.unescape_apostrophe(F.concat("role", F.lit("&#039;"), "text")).alias("plain"),
         text.lower_trim(F.concat(F.lit("  "), "role", F.lit(" "))).alias("role"),
     )

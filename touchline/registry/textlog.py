@@ -31,7 +31,7 @@ _PHRASES = [
 def _messages(spark, sf):
     kind = (F.col("conv_id") * 3 + F.col("turn")) % 9
     phrase = F.element_at(F.array(*map(F.lit, _PHRASES)), (kind + 1).cast("int"))
-    return table(spark, sf, "conversations").select("conv_id", "turn", F.concat("text", phrase).alias("message"))
+    return table(spark, sf, "conversations", heavy=True).select("conv_id", "turn", F.concat("text", phrase).alias("message"))
 
 
 @query("flag_injection", f"WITH {_SQL_MESSAGES} SELECT conv_id, turn, kind IN (0, 2) AS flagged FROM messages")
@@ -79,7 +79,7 @@ def _aliases(spark, sf):
     first AS (SELECT k, m.id AS entity_id, min(m.s) AS s, arg_min(m.a, m.s) AS alias FROM final GROUP BY 1, 2)
     SELECT k AS message_id, entity_id, alias, row_number() OVER (PARTITION BY k ORDER BY s) AS mention_rank FROM first""")
 def mentions(spark, sf):
-    texts = table(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("message_id"), "text")
+    texts = table(spark, sf, "conversations", heavy=True).select((F.col("conv_id") * 1000 + F.col("turn")).alias("message_id"), "text")
     return resolve_mentions(texts, "message_id", "text", _aliases(spark, sf))
 
 
@@ -98,7 +98,7 @@ def extract_sql(spark, sf):
         role == "assistant",
         F.concat(F.lit("```sql\n  SELECT "), F.col("conv_id").cast("string"), F.lit("\n FROM gold.match_results \n``` ```sql\nSELECT 2\n```")),
     ).otherwise(F.lit(""))
-    return table(spark, sf, "conversations").select("conv_id", "turn", textlog.fenced_sql(F.concat("text", body)).alias("sql"))
+    return table(spark, sf, "conversations", heavy=True).select("conv_id", "turn", textlog.fenced_sql(F.concat("text", body)).alias("sql"))
 
 
 _SQL_STATEMENTS = """
@@ -128,7 +128,7 @@ def audit_sql(spark, sf):
         .when(p == "4-NOT SPECIFIED", F.concat(F.lit("SELECT a FROM bronze.raw_documents WHERE id = "), c))
         .otherwise(F.concat(F.lit("select team_id FROM  gold.team_profile where team_id = "), c))
     )
-    rows = table(spark, sf, "orders").select("o_orderkey", statement.alias("statement"))
+    rows = table(spark, sf, "orders", heavy=True).select("o_orderkey", statement.alias("statement"))
     return textlog.audit_sql(rows, "statement").drop("statement")
 
 

@@ -6,6 +6,7 @@ everything after it (cell choice, suffix strip, link parameters) is column expre
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -16,9 +17,7 @@ from pyspark.sql import functions as F
 from touchline.functions.json import json_field, url_parameter
 from touchline.functions.numbers import strip_signed_suffix
 
-_CELLS = (
-    "row_no INT, cells ARRAY<STRUCT<text:STRING,p:STRING,a:STRING,href:STRING,sup:BOOLEAN>>"
-)
+_CELL_ARRAY = "ARRAY<STRUCT<text:STRING,p:STRING,a:STRING,href:STRING,sup:BOOLEAN>>"
 
 
 class _FirstTable(HTMLParser):
@@ -82,16 +81,18 @@ def table_cells(pages: DataFrame, html: str = "html", css_class: str | None = No
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for page in batch.itertuples(index=False):
+            places, numbers, cells = [], [], []
+            for place, page in enumerate(batch[html]):
                 parser = _FirstTable(css_class)
-                parser.feed(getattr(page, html) or "")
-                base = {c: getattr(page, c) for c in kept}
-                out.extend({**base, "row_no": i, "cells": cells} for i, cells in enumerate(parser.rows))
-            yield pd.DataFrame(out, columns=[*kept, "row_no", "cells"])
+                parser.feed(page or "")
+                places.extend([place] * len(parser.rows))
+                numbers.extend(range(len(parser.rows)))
+                cells.extend(json.dumps(row) for row in parser.rows)
+            yield batch[kept].iloc[places].assign(row_no=numbers, cells=cells)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*kept).schema)
-    return pages.mapInPandas(parse, f"{fields}, {_CELLS}")
+    rows = pages.mapInPandas(parse, f"{fields}, row_no INT, cells STRING")
+    return rows.withColumn("cells", F.from_json("cells", _CELL_ARRAY))
 
 
 def _cell(i: int, part: str = "text") -> Column:
