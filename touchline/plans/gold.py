@@ -153,8 +153,8 @@ def team_form(matches: DataFrame, teams: DataFrame, last: int = FORM_LENGTH) ->
 def standings_by_matchday(match_results_df: DataFrame) -> DataFrame:
     """Cumulative record of each team after each finished match.
 
-    NULL scores count as played with no win, draw or loss. Scanned in day slices, so a team with
-    very many matches is spread over tasks.
+    NULL scores count as played with no win, draw or loss. A team with too many matches for one task
+    is scanned in hour slices. Pass a materialised table: its team sizes are measured first.
     """
 
     def outcome(own: Column, other: Column) -> dict[str, Column]:
@@ -172,7 +172,7 @@ def standings_by_matchday(match_results_df: DataFrame) -> DataFrame:
         sides.withColumnsRenamed({m: f"_{m}" for m in measures}),
         TEAM_SEASON,
         [F.col("utc_date").asc_nulls_last(), F.col("source_match_id").asc()],
-        slice_by=F.coalesce(F.to_date("utc_date"), F.lit("9999-12-31").cast("date")),
+        slice_by=F.coalesce(F.date_trunc("hour", "utc_date"), F.lit("9999-12-31").cast("timestamp")),
         sums={m: f"_{m}" for m in measures},
         row_number="played_games",
     )

@@ -19,6 +19,11 @@ TEAM_COLUMNS = ["team_id", "team_name", "team_short_name", "team_tla"]
 RECORD = ["played_games", "won", "draw", "lost", "points", "goals_for", "goals_against", "goal_difference"]
 
 
+def _table_order() -> list[Column]:
+    """League table order; teams level on all three figures are put in id order."""
+    return [F.desc("points"), F.desc("goal_difference"), F.desc("goals_for"), F.asc("team_id")]
+
+
 def list_leagues(standings: DataFrame) -> DataFrame:
     """Seasons of each league, newest first (distinct, so one entry per season)."""
     seasons = F.sort_array(F.collect_set("season"), asc=False)
@@ -61,10 +66,9 @@ def league_matches(results: DataFrame, standings: DataFrame, league: str, season
 
 
 def _ranked_tables(teams: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
-    """Zero-filled records ranked inside each table; teams level on all three are put in id order."""
+    """Zero-filled records ranked inside each table."""
     rows = teams.join(stats, [*keys, "team_id"], "left").fillna(0, subset=RECORD)
-    order = [F.col("points").desc(), F.col("goal_difference").desc(), F.col("goals_for").desc(), F.col("team_id").asc()]
-    return rank_within(rows, keys, order, slice_by=F.col("points"), rank_col="position")
+    return rank_within(rows, keys, _table_order(), slice_by=F.col("points"), sized_by=teams)
 
 
 def standings_as_of(
@@ -91,12 +95,11 @@ def standings_at_dates(standings: DataFrame, by_matchday: DataFrame, dates: Data
     probes = dates.join(teams, keys)
     facts = by_matchday.select(*keys, "team_id", "utc_date", "source_match_id", *RECORD)
     found = as_of_join(
-        probes, facts, [*keys, "team_id"], "as_of", "utc_date", lambda t: F.to_date(t), ["source_match_id"]
+        probes, facts, [*keys, "team_id"], "as_of", "utc_date", lambda t: F.date_trunc("hour", t), ["source_match_id"]
     )
     tables = [*keys, "as_of"]
     filled = found.fillna(0, subset=RECORD)
-    order = [F.col("points").desc(), F.col("goal_difference").desc(), F.col("goals_for").desc(), F.col("team_id").asc()]
-    ranked = rank_within(filled, tables, order, slice_by=F.col("points"), rank_col="position")
+    ranked = rank_within(filled, tables, _table_order(), slice_by=F.col("points"), sized_by=probes)
     return ranked.select(*tables, *TEAM_COLUMNS, "position", *RECORD)
 
 

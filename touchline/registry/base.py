@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from touchline.constants import SECONDARY, TERTIARY
 from touchline.functions.dates import season_of_year
 from touchline.functions.numbers import per90
+from touchline.operators.lineage import cut_lineage
 from touchline.operators.ranking import latest_per_key
 from touchline.sources.tables import spread
 
@@ -124,10 +125,16 @@ def match_snapshots(spark, sf) -> DataFrame:
 
 
 def matches(spark, sf) -> DataFrame:
+    """Latest snapshot of each match."""
     order = [F.col(c).desc() for c in ("utc_date", "away_team_id", "home_team_id", "l_extendedprice")]
     return latest_per_key(match_snapshots(spark, sf), ["source_match_id"], order).drop("l_extendedprice")
 
 
+def match_table(spark, sf) -> DataFrame:
+    """The same as a materialised table, for models that read it several times."""
+    return cut_lineage(matches(spark, sf))
+
+
 SQL_SIDES = """
 sides AS (
   SELECT league, season, home_team_id AS team_id, source_match_id, utc_date, status,
@@ -159,10 +166,10 @@ team_seasons AS (
 )"""
 
 
-def team_seasons(spark, sf) -> DataFrame:
+def team_seasons(spark, sf, played: DataFrame | None = None) -> DataFrame:
     """Teams with any match in a (league, season), with their names."""
-    m = matches(spark, sf)
-    ids = m.select("league", "season", F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")).distinct()
+    played = matches(spark, sf) if played is None else played
+    ids = played.select("league", "season", F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")).distinct()
     return ids.join(teams(spark, sf).drop("league"), "team_id").select(
         "league", "season", "team_id", "team_name", "team_short_name", "team_tla"
     )

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchline.functions.dates import season_of_year
+from touchline.operators.lineage import cut_lineage
 from touchline.operators.ranking import latest_per_key
 from touchline.operators.sliced import rank_within
 from touchline.plans import gold, reads, silver
 from touchline.registry.base import (
-    SQL_BY_MATCHDAY, SQL_MATCHES, SQL_SIDES, SQL_SNAPSHOTS, SQL_TEAM_SEASONS, SQL_TEAMS, match_snapshots, matches, query,
+    SQL_BY_MATCHDAY, SQL_MATCHES, SQL_SIDES, SQL_SNAPSHOTS, SQL_TEAM_SEASONS, SQL_TEAMS, match_snapshots, match_table, matches, query,
     table, team_seasons, teams,
 )
 
@@ -79,13 +80,9 @@ def team_form(spark, sf):
     return gold.team_form(matches(spark, sf), teams(spark, sf))
 
 
-def _by_matchday(spark, sf):
-    return gold.standings_by_matchday(matches(spark, sf))
-
-
 @query("standings_by_matchday", f"WITH {SQL_BY_MATCHDAY} SELECT * FROM by_matchday")
 def standings_by_matchday(spark, sf):
-    return _by_matchday(spark, sf)
+    return gold.standings_by_matchday(match_table(spark, sf))
 
 
 def _sql_as_of(moment: str, dates: str = "") -> str:
@@ -109,8 +106,8 @@ def _sql_as_of(moment: str, dates: str = "") -> str:
 
 @query("standings_as_of", _sql_as_of(f"DATE '{AS_OF}'"))
 def standings_as_of(spark, sf):
-    moment = F.lit(AS_OF).cast("date")
-    return reads.standings_as_of(team_seasons(spark, sf), _by_matchday(spark, sf), moment)
+    played, moment = match_table(spark, sf), F.lit(AS_OF).cast("date")
+    return reads.standings_as_of(team_seasons(spark, sf, played), gold.standings_by_matchday(played), moment)
 
 
 _SQL_DATES = """,
@@ -119,10 +116,11 @@ dates AS (SELECT DISTINCT league, season, date_trunc('quarter', utc_date)::TIMES
 
 @query("standings_at_dates", _sql_as_of("d.as_of", _SQL_DATES))
 def standings_at_dates(spark, sf):
-    m = matches(spark, sf)
+    played = match_table(spark, sf)
     quarter = F.date_trunc("quarter", "utc_date").cast("timestamp_ntz")
-    dates = m.select("league", "season", quarter.alias("as_of")).distinct()
-    return reads.standings_at_dates(team_seasons(spark, sf), _by_matchday(spark, sf), dates)
+    dates = played.select("league", "season", quarter.alias("as_of")).distinct()
+    by_matchday = cut_lineage(gold.standings_by_matchday(played))
+    return reads.standings_at_dates(team_seasons(spark, sf, played), by_matchday, dates)
 
 
 @query(
@@ -183,9 +181,10 @@ standings AS (
 
 def _standings(spark, sf):
     newest = latest_per_key(
-        _by_matchday(spark, sf), ["league", "season", "team_id"],
+        gold.standings_by_matchday(match_table(spark, sf)), ["league", "season", "team_id"],
         [F.col("utc_date").desc(), F.col("source_match_id").desc()],
     ).drop("source_match_id", "utc_date")
+    newest = cut_lineage(newest)
     order = [
         F.col("points").desc(), F.col("goal_difference").desc_nulls_last(), F.col("goals_for").desc_nulls_last(),
         F.col("team_id").asc(),
