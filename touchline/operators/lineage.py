@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,17 +12,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's shared checkpoint folder; a temporary one only where none is configured."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+        return configured.rstrip("/")
     folder = tempfile.mkdtemp(prefix="touchline-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
+    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder so later jobs survive executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written once as a Parquet table in the shared folder and read back.
+
+    Later jobs start from the table: it survives the loss of executors, is read column by column, and
+    its known size lets the planner broadcast it when it is small and only then.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

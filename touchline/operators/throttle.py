@@ -16,48 +16,46 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.lineage import cut_lineage
 from touchline.operators.ranking import topk_per_key
 
-_SCAN_SCHEMA = "k string, slice bigint, t bigint, taken int"
+_VERDICTS = "k string, t bigint, taken int"
+_TAILS = "k string, slice bigint, start bigint, tail array<bigint>"
 
 
-def _scan(window_us: int, limit: int):
-    """Sorted scan over (key, slice, time) rows; holds at most ``limit`` times at once."""
+def _scan(window_us: int, limit: int, tails_only: bool):
+    """Pass over rows sorted by (key, slice, time); holds at most ``limit`` times at once."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, log = None, []
+        current, start, log = None, None, []
         for batch in batches:
-            taken = []
+            taken, ended = [], []
             for k, s, t, n, past in zip(batch["k"], batch["slice"], batch["t"], batch["n"], batch["past"]):
                 if (k, s) != current:
-                    current, log = (k, s), list(past) if past is not None else []
+                    if current is not None:
+                        ended.append((*current, start, log))
+                    current, start, log = (k, s), t, [] if past is None else list(past)
                 while log and t - log[0] > window_us:
                     log.pop(0)
-                free = min(int(n), limit - len(log))
+                free = min(n, limit - len(log))
                 log.extend([t] * free)
                 taken.append(free)
-            yield pd.DataFrame({"k": batch["k"], "slice": batch["slice"], "t": batch["t"], "taken": taken})
+            if tails_only:
+                yield pd.DataFrame(ended, columns=["k", "slice", "start", "tail"])
+            else:
+                yield pd.DataFrame({"k": batch["k"], "t": batch["t"], "taken": taken})
+        if tails_only and current is not None:
+            yield pd.DataFrame([(*current, start, log)], columns=["k", "slice", "start", "tail"])
 
     return run
 
 
-def _run_slices(grains: DataFrame, window_us: int, limit: int) -> DataFrame:
-    parts = grains.repartition("k", "slice").sortWithinPartitions("k", "slice", "t")
-    return parts.mapInPandas(_scan(window_us, limit), _SCAN_SCHEMA)
-
-
-def _tails(verdicts: DataFrame, limit: int) -> DataFrame:
-    """Last ``limit`` accepted times per slice, addressed to the slice that follows."""
-    recent = Window.partitionBy("k", "slice").orderBy(F.col("t").desc())
-    kept = verdicts.filter("taken > 0").withColumn("_r", F.row_number().over(recent)).filter(F.col("_r") <= limit)
-    times = F.flatten(F.collect_list(F.array_repeat("t", F.col("taken"))))
-    return kept.groupBy("k", "slice").agg(
-        F.slice(F.array_sort(times), F.greatest(F.size(times) - limit + 1, F.lit(1)), F.lit(limit)).alias("past")
-    ).select("k", (F.col("slice") + 1).alias("slice"), "past")
+def _run_slices(grains: DataFrame, window_us: int, limit: int, tails_only: bool) -> DataFrame:
+    parts = grains.select("k", "slice", "t", "n", "past").repartition("k", "slice").sortWithinPartitions("k", "slice", "t")
+    return parts.mapInPandas(_scan(window_us, limit, tails_only), _TAILS if tails_only else _VERDICTS)
 
 
 def _live(past: Column, start: Column, window_us: int) -> Column:
@@ -65,27 +63,24 @@ def _live(past: Column, start: Column, window_us: int) -> Column:
     return F.when(F.size(kept) > 0, kept)
 
 
-def accepted_counts(grains: DataFrame, window_us: int, limit: int) -> DataFrame:
-    """Accepted events per ``(k, slice, t)`` of pre-aggregated ``(k, slice, t, n)`` rows."""
-    starts = grains.groupBy("k", "slice").agg(F.min("t").alias("start"))
-    verdicts = cut_lineage(
-        _run_slices(grains.withColumn("past", F.lit(None).cast("array<bigint>")), window_us, limit)
-    )
-    used = starts.select("k", "slice", F.lit(None).cast("array<bigint>").alias("used"))
+def settle_slices(grains: DataFrame, window_us: int, limit: int) -> DataFrame:
+    """The accepted times each ``(k, slice)`` inherits, as ``(k, slice, past)``.
+
+    Only slice ends travel between rounds: at most ``limit`` times per slice.
+    """
+    none = F.lit(None).cast("array<bigint>")
+    state = cut_lineage(_run_slices(grains.withColumn("past", none), window_us, limit, True).withColumn("past", none))
     while True:
-        real = (
-            starts.join(_tails(verdicts, limit), ["k", "slice"])
-            .select("k", "slice", _live(F.col("past"), F.col("start"), window_us).alias("past"))
+        before = state.select("k", (F.col("slice") + 1).alias("slice"), F.col("tail").alias("inherited"))
+        real = _live(F.col("inherited"), F.col("start"), window_us)
+        judged = state.join(before, ["k", "slice"], "left").withColumn("real", real)
+        stale = cut_lineage(
+            judged.filter(~F.col("past").eqNullSafe(F.col("real"))).select("k", "slice", F.col("real").alias("past"))
         )
-        known = used.join(real, ["k", "slice"], "left")
-        stale = cut_lineage(known.filter(~F.col("used").eqNullSafe(F.col("past"))).select("k", "slice", "past"))
         if stale.isEmpty():
-            return verdicts
-        again = _run_slices(grains.join(stale, ["k", "slice"]).select("k", "slice", "t", "n", "past"), window_us, limit)
-        verdicts = cut_lineage(verdicts.join(stale, ["k", "slice"], "left_anti").unionByName(again))
-        used = cut_lineage(
-            used.join(stale, ["k", "slice"], "left_anti").unionByName(stale.withColumnRenamed("past", "used"))
-        )
+            return state.select("k", "slice", "past")
+        again = _run_slices(grains.join(stale, ["k", "slice"]), window_us, limit, True).join(stale, ["k", "slice"])
+        state = cut_lineage(state.join(stale, ["k", "slice"], "left_anti").unionByName(again))
 
 
 def throttle(
@@ -110,7 +105,8 @@ def throttle(
     grains = cut_lineage(
         timed.groupBy("k", "slice", "t").agg(F.least(F.count(F.lit(1)), F.lit(limit)).alias("n"))
     )
-    taken = accepted_counts(grains, window_us, limit).filter("taken > 0").select("k", "t", "taken")
+    inherited = grains.join(settle_slices(grains, window_us, limit), ["k", "slice"])
+    taken = _run_slices(inherited, window_us, limit, False).filter("taken > 0")
     # within one instant the first `taken` events pass: the order value of the last of them decides
     first = topk_per_key(timed.select("k", "t", F.col(order).alias("o")), ["k", "t"], [F.col("o").asc()], limit)
     cutoff = first.join(taken, ["k", "t"]).filter("rank <= taken").groupBy("k", "t").agg(F.max("o").alias("o"))
