@@ -10,7 +10,7 @@ import json
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,19 +79,22 @@ def table_cells(pages: DataFrame, html: str = "html", css_class: str | None = No
     """Body rows of each page's first table: all page columns but the HTML, ``row_no`` and ``cells``."""
     kept = [c for c in pages.columns if c != html]
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places, numbers, cells = [], [], []
-            for place, page in enumerate(batch[html]):
+            for place, page in enumerate(batch.column(html).to_pylist()):
                 parser = _FirstTable(css_class)
                 parser.feed(page or "")
                 places.extend([place] * len(parser.rows))
                 numbers.extend(range(len(parser.rows)))
                 cells.extend(json.dumps(row) for row in parser.rows)
-            yield batch[kept].iloc[places].assign(row_no=numbers, cells=cells)
+            at = pa.array(places, pa.int64())
+            columns = [batch.column(c).take(at) for c in kept]
+            columns += [pa.array(numbers, pa.int32()), pa.array(cells, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "row_no", "cells"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*kept).schema)
-    rows = pages.mapInPandas(parse, f"{fields}, row_no INT, cells STRING")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name in kept]
+    rows = pages.mapInArrow(parse, ", ".join([*fields, "row_no INT", "cells STRING"]))
     return rows.withColumn("cells", F.from_json("cells", _CELL_ARRAY))
 
 
