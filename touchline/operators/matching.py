@@ -40,7 +40,7 @@ def _probe_grams(folded: Column) -> Column:
 
 
 def _name_grams(folded: Column) -> Column:
-    return F.concat(F.array(F.lit("")), *[_char_grams(folded, s) for s in GRAM_SIZES])
+    return F.concat(*[_char_grams(folded, s) for s in GRAM_SIZES])
 
 
 def _with_frequency(probes: DataFrame, index: DataFrame) -> DataFrame:
@@ -66,12 +66,12 @@ def substring_join(queries: DataFrame, query: str, names: DataFrame, name: str)
     chosen = ranked.groupBy("_q", "_fq").agg(F.min_by("gram", F.struct("_freq", "gram")).alias("gram"))
     plain = ~F.col("_fq").rlike(r"[%_\\]")
     hit = F.when(plain, F.col("_fn").contains(F.col("_fq"))).otherwise(F.expr("_fn like _pattern"))
-    return (
-        chosen.withColumn("_pattern", _like_pattern(F.col("_fq")))
-        .join(index, "gram")
-        .filter(hit)
-        .select(F.col("_q").alias(query), F.col("_n").alias(name))
-    )
+    chosen = chosen.withColumn("_pattern", _like_pattern(F.col("_fq")))
+    by_gram = chosen.filter("gram <> ''").join(index, "gram")
+    # a query of wildcards only has no gram to look up: it is answered by every long enough name
+    open_ended = chosen.filter("gram = ''").join(known.withColumn("gram", F.lit("")), "gram")
+    pairs = by_gram.unionByName(open_ended.select(by_gram.columns)).filter(hit)
+    return pairs.select(F.col("_q").alias(query), F.col("_n").alias(name))
 
 
 def similarity_join(queries: DataFrame, query: str, names: DataFrame, name: str, threshold: float) -> DataFrame:

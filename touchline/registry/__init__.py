@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from touchline.registry import base
 from touchline.registry import (  # noqa: F401  (importing registers the queries)
-    documents, history, identity, matches, quality, relational, scalars, search, textlog,
+    documents, history, identity, matches, quality, relational, scalars, search, storage, textlog,
 )
 
 QUERIES = base.QUERIES
