@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; a temporary one only where none is configured."""
+    """The session's shared checkpoint folder; a temporary one only on a single machine without one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="touchline-checkpoint-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder

@@ -207,7 +207,7 @@ def quarantine(spark, sf):
     SELECT (SELECT count(*) FROM fresh) AS inserted, (SELECT count(*) FROM good) - (SELECT count(*) FROM fresh) AS skipped, (SELECT count(*) FROM docs WHERE broken OR user_id < 20) AS failed""")
 def ingest_summary(spark, sf):
     good, bad = parse_documents(_event_docs(spark, sf))
-    return outcome_counts(good, bad, new_records(good, None))
+    return outcome_counts(good, bad, new_records(good, None).count())
 
 
 @query("json_rows", "SELECT to_json({'c_custkey': c_custkey, 'c_name': c_name, 'segment': CASE WHEN c_acctbal > 0 THEN c_mktsegment END})::VARCHAR AS row_json FROM customer")

@@ -250,9 +250,9 @@ def team_squad(spark, sf):
     return grouped.withColumns({c: F.col(c).cast("bigint") for c in ("age", "group_order")})
 
 
-@query("player_season", f"WITH {_SQL_MARTS} SELECT * FROM performance WHERE player_id = 8 AND season = '1997-1998'")
+@query("player_season", f"WITH {_SQL_MARTS} SELECT * FROM performance WHERE player_id = 10 AND season = '1997-1998'")
 def player_season(spark, sf):
-    return _plain(reads.player_season(_performance(spark, sf), 8, "1997-1998"))
+    return _plain(reads.player_season(_performance(spark, sf), 10, "1997-1998"))
 
 
 @query("dq_unmapped_players", f"""WITH {_SQL_PTS}

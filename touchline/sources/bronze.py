@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from touchline import schemas
@@ -10,7 +10,7 @@ from touchline.operators.joins import without
 from touchline.operators.lineage import cut_lineage
 from touchline.operators.ranking import latest_per_key
 from touchline.sources.files import (
-    discover_files, mark_ingested, parse_documents, pending_files, read_pending,
+    discover_files, mark_ingested, pending_files, read_pending, split_documents, tag_documents,
 )
 
 KEY = ["source", "entity_type", "content_hash"]
@@ -47,19 +47,19 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.BRONZE).parquet(path)
 
 
-def append_bronze(df: DataFrame, path: str) -> None:
-    """Append, partitioned so that every staging model prunes to its own documents."""
-    df.write.mode("append").partitionBy("source", "entity_type").parquet(path)
+def append_bronze(df: DataFrame, path: str) -> int:
+    """Append, partitioned so that every staging model prunes to its own documents; returns the rows written."""
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("n"))
+    counted.write.mode("append").partitionBy("source", "entity_type").parquet(path)
+    return written.get["n"]
 
 
-def outcome_counts(good: DataFrame, bad: DataFrame, fresh: DataFrame) -> DataFrame:
+def outcome_counts(good: DataFrame, bad: DataFrame, inserted: int) -> DataFrame:
     """Inserted / skipped / failed in one row."""
-    counts = [
-        df.agg(F.count(F.lit(1)).alias(name))
-        for name, df in (("inserted", fresh), ("read", good), ("failed", bad))
-    ]
-    one = counts[0].crossJoin(F.broadcast(counts[1])).crossJoin(F.broadcast(counts[2]))
-    return one.select("inserted", (F.col("read") - F.col("inserted")).alias("skipped"), "failed")
+    one = good.agg(F.count(F.lit(1)).alias("read")).crossJoin(F.broadcast(bad.agg(F.count(F.lit(1)).alias("failed"))))
+    done = F.lit(inserted).cast("bigint")
+    return one.select(done.alias("inserted"), (F.col("read") - done).alias("skipped"), "failed")
 
 
 def ingest(
@@ -68,16 +68,14 @@ def ingest(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Load changed files; returns (tracking table, quarantine, outcome counts).
 
-    The parsed batch is cut once (hashes, contents), so each file is opened once per run. Tracking
-    only advances for files whose record is in bronze.
+    The hashed batch is materialised once, so each file is opened once per run, and appended once, the
+    inserted rows counted on the way. Tracking only advances for files whose record is in bronze.
     """
     files, _ = discover_files(spark, root, source, date)
     docs = read_pending(spark, root, pending_files(files, tracked, full_rehash))
-    good, bad = parse_documents(docs)
-    good, bad = cut_lineage(good), cut_lineage(bad)
-    fresh = cut_lineage(new_records(good, read_bronze(spark, bronze_path)))
-    append_bronze(as_bronze(fresh), bronze_path)
-    return cut_lineage(mark_ingested(tracked, good)), bad, outcome_counts(good, bad, fresh)
+    good, bad = split_documents(cut_lineage(tag_documents(docs)))
+    inserted = append_bronze(as_bronze(new_records(good, read_bronze(spark, bronze_path))), bronze_path)
+    return cut_lineage(mark_ingested(tracked, good)), bad, outcome_counts(good, bad, inserted)
 
 
 def profile(bronze: DataFrame) -> DataFrame:

@@ -89,17 +89,6 @@ def empty_tracking(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schemas.TRACKING)
 
 
-def read_documents(spark: SparkSession, root: str) -> DataFrame:
-    """Whole files as text with their path parts."""
-    text = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .option("wholetext", True)
-        .text(root)
-    )
-    return with_path_parts(text.withColumnRenamed("value", "payload"), root).select("payload", *LISTED)
-
-
 def read_pending(spark: SparkSession, root: str, pending: DataFrame) -> DataFrame:
     """Contents of the pending files only (NULL payload when the bytes are not UTF-8).
 
@@ -118,25 +107,31 @@ def read_pending(spark: SparkSession, root: str, pending: DataFrame) -> DataFram
     return content.join(pending, "path")
 
 
-def parse_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records ready for bronze, quarantined documents with a reason).
+def tag_documents(docs: DataFrame) -> DataFrame:
+    """Documents with hash, league, season and, for those to set aside, a ``reason``.
 
-    Invalid JSON and a season that is neither a year nor a range are set aside and the rest goes on;
-    an unknown league code is kept with NULL league and season.
+    Invalid JSON and a season that is neither a year nor a range are set aside; an unknown league code
+    is kept with NULL league and season.
     """
     token = file_season_token("file_name")
     tagged = docs.withColumns({
-        "content_hash": canonical_hash("payload"),
-        "league": file_league("file_name"),
-        "season": normalize_season(token),
-        "_bad_season": token.isNotNull() & normalize_season(token).isNull(),
+        "content_hash": canonical_hash("payload"), "league": file_league("file_name"), "season": normalize_season(token),
     })
-    reason = F.when(F.col("content_hash").isNull(), "invalid json").when(F.col("_bad_season"), "bad season")
-    tagged = tagged.withColumn("reason", reason).drop("_bad_season")
+    bad_season = token.isNotNull() & F.col("season").isNull()
+    return tagged.withColumn("reason", F.when(F.col("content_hash").isNull(), "invalid json").when(bad_season, "bad season"))
+
+
+def split_documents(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records ready for bronze, quarantined documents with a reason)."""
     good = tagged.filter("reason is null").drop("reason")
     return good, tagged.filter("reason is not null").select("rel_path", "source", "entity_type", "reason")
 
 
+def parse_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tagged and split in one go, the rest of the batch goes on without the bad documents."""
+    return split_documents(tag_documents(docs))
+
+
 def save_raw(df: DataFrame, root: str) -> None:
     """Append JSON snapshots below source / entity_type / date, never overwriting."""
     df.write.partitionBy("source", "entity_type", "date").mode("append").json(root)

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from touchline.operators.lineage import cut_lineage
 from touchline.sources.bronze import append_bronze, as_bronze, new_records, read_bronze
-from touchline.sources.files import parse_documents, with_path_parts
+from touchline.sources.files import split_documents, tag_documents, with_path_parts
 
 
 def stream_documents(spark: SparkSession, root: str, max_files: int = 10000) -> DataFrame:
@@ -36,9 +36,8 @@ def start_ingest(
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        good, bad = parse_documents(batch)
-        fresh = cut_lineage(new_records(good, read_bronze(batch.sparkSession, bronze_path)))
-        append_bronze(as_bronze(fresh), bronze_path)
+        good, bad = split_documents(cut_lineage(tag_documents(batch)))
+        append_bronze(as_bronze(new_records(good, read_bronze(batch.sparkSession, bronze_path))), bronze_path)
         bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
 
     return (
