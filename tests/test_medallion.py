@@ -248,6 +248,15 @@ def test_search(spark, world):
     assert ("zz", "team") not in by_query
 
 
+def test_team_mentions_carry_names(spark, world, rows):
+    aliases = gold.search_aliases(world["seed"]["search_aliases_seed"])
+    dictionary = textlog.alias_dictionary(aliases, world["teams"])
+    texts = spark.createDataFrame([(1, "Gunners vs MU, gunners!")], "id int, message string")
+    assert rows(textlog.team_mentions(texts, "id", "message", dictionary)) == [
+        (1, 1, 57, "Arsenal FC", "gunners"), (1, 2, 66, "Manchester United FC", "mu")
+    ]
+
+
 def test_merge_keeps_best_priority(spark, rows):
     def tier(data):
         return spark.createDataFrame([("q", i, n, "s", p) for i, n, p in data], "query string, id int, name string, subtitle string, priority int")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -178,8 +176,3 @@ def squad_groups(squad: DataFrame) -> DataFrame:
 def form_badges(form: DataFrame, column: str = "form") -> DataFrame:
     """R16."""
     return form.withColumn("letters", form_letters(column, FORM_LETTERS))
-
-
-def any_of(conditions: list[Column]) -> Column:
-    """disjunction of conditions."""
-    return reduce(lambda a, b: a | b, conditions)

@@ -43,15 +43,6 @@ def table(spark: SparkSession, sf: str, name: str, heavy: bool = False) -> DataF
     return spread(df) if heavy else df
 
 
-def long(c):
-    return (F.col(c) if isinstance(c, str) else c).cast("bigint")
-
-
-def as_longs(df: DataFrame, *cols: str) -> DataFrame:
-    """Integer columns widened so that both sides of a comparison have one type."""
-    return df.withColumns({c: F.col(c).cast("bigint") for c in cols})
-
-
 # --- teams ------------------------------------------------------------------
 
 SQL_TEAMS = """
