@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import mixing, quality_rules, secrets
+from touchline.llm import bpe, html_text, mixing, quality_rules, secrets
 from touchline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(sql: str | None = None):
     def register(f):
         QUERIES[f.__name__] = f
@@ -108,3 +115,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets and linked credential parts of every document."""
     found = secrets.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+@query()
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query()
+def op3_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text decoded from them, as digests."""
+    path = tokenizer_path()
+    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    ids = ids.select("doc_id", "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
+    return bpe.decode(ids, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
