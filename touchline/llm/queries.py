@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, html_text, mixing, quality_rules, secrets
-from touchline.llm.common import table
+from touchline.llm import bpe, html_text, mixing, quality_rules, secrets, simhash
+from touchline.llm.common import checkpointed, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +130,18 @@ def op3_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     ids = ids.select("doc_id", "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
     return bpe.decode(ids, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query()
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, their likeness, and for ids divisible by 100 the documents in radius."""
+    pairs = simhash.with_next(table(spark, sf_dir, "documents"))
+    marks = checkpointed(pairs.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "next_fingerprint"))
+    asked = marks.filter(F.col("doc_id") % 100 == 0)
+    near = simhash.within_radius(marks, asked).groupBy("fingerprint").agg((F.sum("rows") - 1).alias("n_within"))
+    like = lambda other: simhash.likeness(simhash.distance(F.col("fingerprint"), F.col(other)))
+    return marks.join(near, "fingerprint", "left").select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        like("edited_fingerprint").alias("near_edited"), like("next_fingerprint").alias("near_next"),
+        F.when(F.col("doc_id") % 100 == 0, F.col("n_within")).alias("n_within"))
