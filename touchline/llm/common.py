@@ -61,26 +61,25 @@ def sums_before(lengths: Column, block: int = 64) -> Column:
     return let(blocks, with_blocks)
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches of ``pattern`` (never empty ones): structs ``start``, ``stop`` in code points, ``value``.
-
-    The pieces between the matches and the matches themselves add up to the offsets.
-    """
-    none = F.array().cast("array<struct<start:int,stop:int,value:string>>")
+def spans(pieces: Column, found: Column) -> Column:
+    """Structs ``start``, ``stop``, ``value`` (in code points) of matches ``found`` between the ``pieces`` of a split text."""
+    steps = F.transform(found, lambda m, i: F.length(m) + F.length(F.get(pieces, i)))
 
-    def placed(found: Column) -> Column:
-        def spans(pieces: Column) -> Column:
-            steps = F.transform(found, lambda m, i: F.length(m) + F.length(F.get(pieces, i)))
+    def build(before: Column) -> Column:
+        def span(m: Column, i: Column) -> Column:
+            start = F.get(before, i) + F.length(F.get(pieces, i))
+            return F.struct(start.alias("start"), (start + F.length(m)).alias("stop"), m.alias("value"))
 
-            def build(before: Column) -> Column:
-                def span(m: Column, i: Column) -> Column:
-                    start = F.get(before, i) + F.length(F.get(pieces, i))
-                    return F.struct(start.alias("start"), (start + F.length(m)).alias("stop"), m.alias("value"))
+        return F.transform(found, span)
 
-                return F.transform(found, span)
+    return let(let(steps, lambda s: sums_before(s)), build)  # noqa: PLW0108 (a second parameter would be the index)
 
-            return let(let(steps, lambda s: sums_before(s)), build)  # noqa: PLW0108 (a second parameter would be the index)
 
-        return F.when(F.size(found) > 0, let(F.split(text, pattern, -1), spans)).otherwise(none)
+def matches(text: Column, pattern: str) -> Column:
+    """Leftmost non-overlapping matches of ``pattern`` (never empty ones): structs ``start``, ``stop`` in code points, ``value``.
 
-    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+    The pieces between the matches and the matches themselves add up to the offsets.
+    """
+    none = F.array().cast("array<struct<start:int,stop:int,value:string>>")
+    placed = lambda found: let(F.split(text, pattern, -1), lambda pieces: spans(pieces, found))
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(none))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, html_text, minhash, mixing, quality_rules, secrets, simhash
+from touchline.llm import bpe, html_text, licenses, minhash, mixing, quality_rules, secrets, simhash
 from touchline.llm.common import checkpointed, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,13 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN (SELECT a, min(b) AS component_id
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document: three-word shingles, 85 per cent."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.STRICT)
+
+
+@query()
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and detected licenses of every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", F.size("starts").cast("long").alias("n_base"),
+        F.array_min("starts").cast("long").alias("first_word"), F.array_max("starts").cast("long").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
