@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, html_text, licenses, minhash, mixing, quality_rules, secrets, simhash
+from touchline.llm import bpe, html_text, licenses, minhash, mixing, pii, quality_rules, secrets, simhash
 from touchline.llm.common import checkpointed, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,10 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", F.size("starts").cast("long").alias("n_base"),
         F.array_min("starts").cast("long").alias("first_word"), F.array_max("starts").cast("long").alias("last_word"),
         F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
+@query()
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with personal data replaced, and the number of replacements."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymised(docs, count="n_replaced")
