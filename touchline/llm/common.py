@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE = r"[\x20\x09-\x0D]+"
-WHITE_CHARS = " \t\n\x0b\x0c\r"
+#: Bits of the bitmap that says which rows may be needed (1 MiB whatever the input).
+BITMAP_BITS = 1 << 23
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,3 +84,16 @@ def matches(text: Column, pattern: str) -> Column:
     none = F.array().cast("array<struct<start:int,stop:int,value:string>>")
     placed = lambda found: let(F.split(text, pattern, -1), lambda pieces: spans(pieces, found))
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(none))
+
+
+def possible_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose ``doc_id`` is not among ``ids.node``: a bitmap of fixed size is broadcast."""
+    slot = F.pmod(F.xxhash64("node"), F.lit(BITMAP_BITS))
+    bits = ids.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit"))
+    maps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS))
+    tried = docs.withColumn("bucket_of", F.bitmap_bucket_number(at)).withColumn("bit_of", F.bitmap_bit_position(at))
+    octet = F.conv(F.hex(F.substring("bitmap", (F.col("bit_of") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.expr("cast(bit_of % 8 as int)")
+    joined = tried.join(F.broadcast(maps), F.col("bucket_of") == F.col("bucket"))
+    return joined.filter(F.call_function("shiftright", octet, bit).bitwiseAND(F.lit(1)) == 1).select(*docs.columns)

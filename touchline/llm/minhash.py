@@ -29,13 +29,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import checkpointed, packed
+from touchline.llm.common import checkpointed, packed, possible_rows
 from touchline.llm.components import components
 
 #: Rows of a bucket that one task compares with each other, and members of one centre in one group.
 BLOCK = 2048
-#: Bits of the bitmap that says which texts may be needed (1 MiB whatever the input).
-BITMAP_BITS = 1 << 23
 
 
 @dataclass(frozen=True)
@@ -147,19 +145,6 @@ def signatures(df: DataFrame, settings: Settings, text: str = "text", doc_id: st
     return picked.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary")
 
 
-def _possible(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without most rows whose ``doc_id`` is not among ``ids.node``: a bitmap of fixed size is broadcast."""
-    slot = F.pmod(F.xxhash64("node"), F.lit(BITMAP_BITS))
-    bits = ids.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit"))
-    maps = bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS))
-    tried = docs.withColumn("bucket_of", F.bitmap_bucket_number(at)).withColumn("bit_of", F.bitmap_bit_position(at))
-    octet = F.conv(F.hex(F.substring("bitmap", (F.col("bit_of") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.expr("cast(bit_of % 8 as int)")
-    joined = tried.join(F.broadcast(maps), F.col("bucket_of") == F.col("bucket"))
-    return joined.filter(F.call_function("shiftright", octet, bit).bitwiseAND(F.lit(1)) == 1).select(*docs.columns)
-
-
 def confirmed(docs: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
     """The ``pairs`` (``a``, ``b``) of document ids whose full shingle sets reach the threshold.
 
@@ -170,7 +155,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, settings: Settings) -> DataFram
     grouped = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("members") / BLOCK).cast("long")).alias("part"))
     heads = grouped.select("a", F.col("a").alias("node"), "part", F.lit(0).alias("role")).distinct()
     roles = checkpointed(heads.unionByName(grouped.select("a", F.col("b").alias("node"), "part", F.lit(1).alias("role"))))
-    texts = _possible(docs, roles.select("node"))
+    texts = possible_rows(docs, roles.select("node"))
     placed = texts.join(roles, F.col("doc_id") == F.col("node")).select("a", "part", "role", "node", "text")
     ordered = placed.repartition("a", "part").sortWithinPartitions("a", "part", "role")
     percent, shingle = settings.percent, settings.shingle

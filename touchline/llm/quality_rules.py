@@ -34,6 +34,7 @@ RULES: list[tuple[str, str]] = [
     ("short_words", "2 * word_chars < 5 * n_words"),
     ("ellipsis", "10 * n_ellipses > n_words"),
     ("placeholder", "n_placeholders > 0"),
+    ("shouting", "2 * n_exclaims > n_words"),
 ]
 BITS = {name: 1 << k for k, (name, _) in enumerate(RULES)}
 
@@ -45,10 +46,10 @@ def mask(*names: str) -> int:
 #: Versioned policies: the rules whose failure rejects a document.
 POLICIES: dict[str, int] = {
     "base": mask("too_few_words", "repeated_windows"),
-    "standard-1": mask("too_few_words", "repeated_windows", "symbol_heavy", "duplicate_lines", "few_letters"),
+    "standard-1": mask("too_few_words", "repeated_windows", "symbol_heavy", "duplicate_lines", "few_letters", "shouting"),
     "strict-1": mask(*BITS),
 }
-MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letters", "n_ellipses", "n_placeholders"]
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letters", "n_ellipses", "n_placeholders", "n_exclaims"]
 
 
 def _windows(hashes: Column) -> Column:
@@ -89,6 +90,7 @@ def measures(text: Column) -> Column:
         of_lines.alias("of_lines"),
         without(WHITE).alias("word_chars"),
         (F.length(t) - without(f"[{SYMBOLS}]+")).alias("n_symbols"),
+        (F.length(t) - without("!+")).alias("n_exclaims"),
         without(r"\P{L}+").alias("n_letters"),
         F.regexp_count(t, F.lit(r"\.\.\.|…")).alias("n_ellipses"),
         F.regexp_count(F.lower(t), F.lit("lorem ipsum")).alias("n_placeholders"),

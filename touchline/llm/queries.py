@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, html_text, licenses, minhash, mixing, pii, quality_rules, secrets, simhash
+from touchline.llm import bpe, html_text, licenses, minhash, mixing, ordinal, pii, quality_rules, secrets, simhash
 from touchline.llm.common import checkpointed, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,13 +48,13 @@ WITH w AS (
   SELECT w.doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
     coalesce(n_lines, 0) AS n_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
-    length(regexp_replace(t, '[^\\p{L}]+', '', 'g')) AS n_letters
+    length(regexp_replace(t, '[^\\p{L}]+', '', 'g')) AS n_letters, length(t) - length(replace(t, '!', '')) AS n_exclaims
   FROM w LEFT JOIN ln ON w.doc_id = ln.doc_id LEFT JOIN cov ON w.doc_id = cov.doc_id
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines
-       OR 2 * n_letters < word_chars) AS kept
+       OR 2 * n_letters < word_chars OR 2 * n_exclaims > n_words) AS kept
 FROM m
 """)
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,3 +187,15 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with personal data replaced, and the number of replacements."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymised(docs, count="n_replaced")
+
+
+@query()
+def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probability of every document, learned from the labels: 0 poor text, 1 toxic, 2 clean."""
+    labels = table(spark, sf_dir, "labels")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
+    rated = labels.select("doc_id", grade.alias("grade"))
+    docs = table(spark, sf_dir, "documents")
+    model = ordinal.fit(docs, rated, grades=3)
+    scored = ordinal.score(docs, model)
+    return scored.select("doc_id", "expected_grade", F.get("tails", F.lit(1)).alias("p_clean"), (F.get("tails", F.lit(1)) >= 0.5).alias("kept"))
