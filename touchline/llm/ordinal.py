@@ -8,7 +8,7 @@ The model is fitted on a bounded sample of the rated documents (``SAMPLE`` in ex
 shard runs over its rows from the current weights and the changes are averaged over the shards that touched a feature. Model
 and sample do not grow with the input; scoring streams over every text without a shuffle.
 
-Features are the distinct words (lower case, without outer punctuation), the shapes of words by their share in the text, how
+Features are the distinct words (lower case, without outer punctuation) and their beginnings, the shapes of words by their share in the text, how
 varied the words are, and whether there are any. Null and empty texts have the last only. Rows repeated among the ratings
 count again; ratings without grade, and documents without rating, do not take part in fitting. Without any rating the weights
 are zero. Long texts are read whole.
@@ -30,15 +30,20 @@ from pyspark.sql import functions as F
 from touchline.llm.common import checkpointed, possible_rows
 
 #: Hashed dimensions, rated documents used for fitting (in expectation), shards, rounds of averaging, passes per round.
-DIMENSIONS, SAMPLE, SHARDS, ROUNDS, PASSES = 1 << 18, 16_000, 8, 6, 2
-#: Rated documents that a feature must occur in, learning rate, pull towards zero.
-LEAST_DOCUMENTS, RATE, SHRINK = 8, 0.3, 1e-3
+DIMENSIONS, SAMPLE, SHARDS, ROUNDS, PASSES = 1 << 30, 30_000, 4, 12, 2
+#: Share of the rated documents that a feature must occur in (four at least), learning rate, pull towards zero.
+LEAST_SHARE, RATE, SHRINK = 0.005, 0.5, 0.1
+#: Lengths of word beginnings that are features of their own, for what inflected and compound words share.
+STEMS = (4, 5, 6)
 _LETTERS = re.compile(r"[^\W\d_]+")
 _OUTER = re.compile(r"^\W+|\W+$")
 
 
 @dataclass(frozen=True)
 class Model:
+    """Hashed features in ascending order, their weights, and the thresholds."""
+
+    slots: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
 
@@ -52,12 +57,13 @@ def _slot(name: str) -> int:
 
 
 class Featurizer:
-    """Distinct hashed features of a text; words seen lately are kept with their feature and shape."""
+    """Distinct hashed features of a text, or their places among the ``slots`` of a model; words seen lately are kept."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, slots: np.ndarray | None = None, most: int = 300_000):
         self.most, self.known = most, {}
+        self.place = None if slots is None else {int(s): k for k, s in enumerate(slots)}
 
-    def _word(self, word: str) -> tuple[int, str]:
+    def _word(self, word: str) -> tuple[list[int], str]:
         def shape(m: re.Match) -> str:
             run = m.group()
             return "A" if run.isupper() and len(run) > 1 else "a"
@@ -65,7 +71,10 @@ class Featurizer:
         if len(self.known) > self.most:
             self.known.clear()
         bare = _OUTER.sub("", word).lower()
-        found = self.known[word] = (_slot("w:" + bare) if bare else -1, re.sub(r"\d+", "0", _LETTERS.sub(shape, word[:64])))
+        slots = [_slot("w:" + bare), *(_slot(f"p:{bare[:n]}") for n in STEMS if len(bare) > n)] if bare else []
+        if self.place is not None:
+            slots = [self.place[s] for s in slots if s in self.place]
+        found = self.known[word] = (slots, re.sub(r"\d+", "0", _LETTERS.sub(shape, word[:64])))
         return found
 
     def features(self, text: str | None) -> np.ndarray:
@@ -73,12 +82,12 @@ class Featurizer:
         total = sum(counts.values())
         known, slots, shapes = self.known, set(), Counter()
         for word, n in counts.items():
-            slot, shape = known.get(word) or self._word(word)
-            slots.add(slot)
+            own, shape = known.get(word) or self._word(word)
+            slots.update(own)
             shapes[shape] += n
-        slots.discard(-1)
-        slots.update(_slot(f"s:{shape}:{int(3 * n / total)}") for shape, n in shapes.items())
-        slots.add(_slot("none") if not total else _slot(f"v:{min(5, int(-math.log2(len(counts) / total)))}"))
+        whole = [_slot(f"s:{shape}:{int(3 * n / total)}") for shape, n in shapes.items()]
+        whole.append(_slot("none") if not total else _slot(f"v:{min(5, int(-math.log2(len(counts) / total)))}"))
+        slots.update(whole if self.place is None else (self.place[s] for s in whole if s in self.place))
         return np.fromiter(sorted(slots), dtype=np.int32, count=len(slots))
 
 
@@ -117,7 +126,7 @@ def _pass_over(rows: list[tuple[int, np.ndarray]], model: Model) -> tuple[np.nda
 
 def fit(docs: DataFrame, ratings: DataFrame, grades: int, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE) -> Model:
     """A model from ``ratings`` (``doc_id``, ``grade`` from 0 to ``grades - 1``) of ``docs``."""
-    model = Model(np.zeros(DIMENSIONS), np.linspace(-1, 1, grades - 1) if grades > 2 else np.zeros(grades - 1))
+    thresholds = np.linspace(-1, 1, grades - 1) if grades > 2 else np.zeros(grades - 1)
     rated = ratings.select(F.col("doc_id").alias("node"), "grade").filter(F.col("node").isNotNull() & F.col("grade").between(0, grades - 1))
     share = min(1.0, sample / max(1, rated.count()))
     hashed = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
@@ -133,39 +142,44 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, text: str = "text", do
 
     examples = joined.mapInArrow(featurize, "doc_id long, grade int, slots array<int>")
     examples = checkpointed(examples.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SHARDS))))
-    # features of few rated documents only let the model learn these by heart; at most DIMENSIONS rows come back
-    frequent = examples.select(F.explode("slots").alias("slot")).groupBy("slot").count().filter(F.col("count") >= LEAST_DOCUMENTS).select("slot")
-    allowed = np.zeros(DIMENSIONS, dtype=bool)
-    allowed[[r["slot"] for r in frequent.collect()]] = True
+    # features of few rated documents would only be learned by heart; how many are left depends on the sample alone
+    least = max(4, LEAST_SHARE * examples.count())
+    frequent = examples.select(F.explode("slots").alias("slot")).groupBy("slot").count().filter(F.col("count") >= least).select("slot")
+    slots = np.array(sorted(r["slot"] for r in frequent.collect()), dtype=np.int64)
+    model = Model(slots, np.zeros(len(slots)), thresholds)
     for _ in range(ROUNDS):
         current = model
 
         def shard(rows: pa.Table) -> pa.Table:
-            ordered = sorted(zip(rows.column("doc_id").to_pylist(), rows.column("grade").to_pylist(), rows.column("slots").to_pylist()))
-            order = np.random.default_rng(1).permutation(len(ordered))
-            slots = [np.array(x[2], dtype=np.int64) for x in ordered]
-            w, t, touched = _pass_over([(ordered[k][1], slots[k][allowed[slots[k]]]) for k in order], current)
+            lists = rows.column("slots").combine_chunks()
+            flat, ends = np.asarray(lists.values), np.asarray(lists.offsets)
+            ids, given = rows.column("doc_id").to_numpy(), rows.column("grade").to_numpy()
+            places = np.minimum(np.searchsorted(current.slots, flat), max(0, len(current.slots) - 1))
+            known = current.slots[places] == flat if len(current.slots) else np.zeros(len(flat), dtype=bool)
+            examples_of = [(int(given[k]), places[ends[k] : ends[k + 1]][known[ends[k] : ends[k + 1]]]) for k in np.lexsort((given, ids))]
+            order = np.random.default_rng(1).permutation(len(examples_of))
+            w, t, touched = _pass_over([examples_of[k] for k in order], current)
             return pa.table({"w": [w[touched].astype(np.float32).tobytes()], "at": [np.flatnonzero(touched).astype(np.int32).tobytes()], "t": [t.tobytes()]})
 
         parts = examples.groupBy("shard").applyInArrow(shard, "w binary, at binary, t binary").collect()  # one row per shard
         if not parts:
             break
-        total, count, thresholds = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS), np.zeros(grades - 1)
+        total, count, thresholds = np.zeros(len(slots)), np.zeros(len(slots)), np.zeros(grades - 1)
         for part in sorted(parts, key=lambda p: bytes(p["t"])):
             at = np.frombuffer(part["at"], dtype=np.int32)
             total[at] += np.frombuffer(part["w"], dtype=np.float32) - model.weights[at]
             count[at] += 1
             thresholds += np.frombuffer(part["t"]) / len(parts)
-        model = Model(model.weights + total / np.maximum(count, 1), thresholds)
+        model = Model(slots, model.weights + total / np.maximum(count, 1), thresholds)
     return model
 
 
 def score(df: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per row: ``doc_id``, ``expected_grade`` and ``tails``, P(grade >= k) for k = 1, 2, ..."""
-    compact = Model(model.weights.astype(np.float32), model.thresholds)
+    compact = Model(model.slots, model.weights.astype(np.float32), model.thresholds)
 
     def run(batches):
-        featurizer = Featurizer()
+        featurizer = Featurizer(compact.slots)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
