@@ -25,93 +25,86 @@ def _sql_half_up(cents: str) -> str:
 
 
 _SQL_PLAYERS = SQL_STAGED_PLAYERS + f""",
-p_latest AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY ingestion_time DESC) AS rn FROM p_players)
-  WHERE rn = 1),
+newest AS (SELECT unnest(arg_max(p, p.ingestion_time)) FROM p_players p GROUP BY p.player_id),
 p_unique AS (
-  SELECT {_sql_norm('player_name')} AS norm_name, min(player_id) AS player_id FROM p_latest GROUP BY 1 HAVING count(*) = 1),
-s_people AS (
-  SELECT * FROM (SELECT * REPLACE (replace(raw_player_name, '&#039;', '''') AS raw_player_name),
-                        row_number() OVER (PARTITION BY understat_id ORDER BY ingestion_time DESC) AS rn FROM s_stats)
-  WHERE rn = 1),
+  SELECT norm_name, ids[1] AS player_id
+  FROM (SELECT {_sql_norm('player_name')} AS norm_name, list(player_id) AS ids FROM newest GROUP BY 1) WHERE len(ids) = 1),
+foreign_people AS (
+  SELECT q.understat_id, q.team_id, q.league, q.position, replace(q.raw_player_name, '&#039;', '''') AS label
+  FROM (SELECT unnest(arg_max(s, s.ingestion_time)) FROM s_stats s GROUP BY s.understat_id) q),
+recognised AS (
+  SELECT f.understat_id FROM foreign_people f JOIN p_unique u ON u.norm_name = {_sql_norm('f.label')}
+  UNION
+  SELECT f.understat_id FROM foreign_people f SEMI JOIN (FROM name_map WHERE source = 'understat' AND player_id IS NOT NULL) nm
+  ON nm.raw_player_name = f.label AND nm.team_id = f.team_id),
+everyone AS (
+  SELECT player_id, player_name, position, date_of_birth, nationality, shirt_number, team_id, league, true AS own FROM newest
+  UNION ALL BY NAME
+  SELECT understat_id + 100000000 AS player_id, label AS player_name, position, league, false AS own
+  FROM foreign_people ANTI JOIN recognised USING (understat_id)),
 players AS (
-  SELECT p.player_id, coalesce(d.display_name, p.player_name) AS player_name, p.position,
-         coalesce(p.date_of_birth, x.x_dob) AS date_of_birth, coalesce(p.nationality, x.x_nat) AS nationality,
-         coalesce(p.shirt_number, x.x_shirt) AS shirt_number, p.team_id, p.league
-  FROM p_latest p LEFT JOIN display d USING (player_id) LEFT JOIN extra x USING (player_id)
-  UNION ALL
-  SELECT s.understat_id + 100000000, s.raw_player_name, s.position, x.x_dob, x.x_nat, x.x_shirt, NULL, s.league
-  FROM s_people s
-  LEFT JOIN name_map nm ON nm.source = 'understat' AND nm.raw_player_name = s.raw_player_name AND nm.team_id = s.team_id
-  LEFT JOIN p_unique u ON u.norm_name = {_sql_norm('s.raw_player_name')}
-  LEFT JOIN extra x ON x.player_id = s.understat_id + 100000000
-  WHERE coalesce(nm.player_id, u.player_id) IS NULL)"""
+  SELECT e.player_id, coalesce(CASE WHEN own THEN display_name END, player_name) AS player_name, e.position,
+         coalesce(date_of_birth, x_dob) AS date_of_birth, coalesce(nationality, x_nat) AS nationality,
+         coalesce(shirt_number, x_shirt) AS shirt_number, e.team_id, e.league
+  FROM everyone e LEFT JOIN display d ON d.player_id = e.player_id LEFT JOIN extra x ON x.player_id = e.player_id)"""
 
+# Both sources as one long table of facts; every rule that names a player for a fact is a vote, and the first rule wins.
 _SQL_PTS = _SQL_PLAYERS + f""",
-by_name AS (
-  SELECT {_sql_norm('player_name')} AS norm_name, min(player_id) AS player_id FROM players GROUP BY 1 HAVING count(*) = 1),
-s_resolved AS (
-  SELECT s.*, coalesce(nm.player_id, i.player_id, n.player_id) AS player_id
-  FROM s_stats s
-  LEFT JOIN name_map nm ON nm.source = 'understat' AND nm.raw_player_name = s.raw_player_name AND nm.team_id = s.team_id
-  LEFT JOIN players i ON i.player_id = s.understat_id + 100000000
-  LEFT JOIN by_name n ON n.norm_name = {_sql_norm('s.raw_player_name')}),
-t_resolved AS (
-  SELECT t.*, coalesce(nm.player_id, n.player_id) AS player_id
-  FROM t_stats t
-  LEFT JOIN name_map nm ON nm.source = 'statbunker' AND nm.raw_player_name = t.raw_player_name AND nm.team_id = t.team_id
-  LEFT JOIN by_name n ON n.norm_name = {_sql_norm('t.raw_player_name')}),
-s_latest AS (
-  SELECT *, {_sql_half_up('xg_cents')} AS xg90, {_sql_half_up('xa_cents')} AS xa90
-  FROM (SELECT *, row_number() OVER (PARTITION BY player_id, season ORDER BY ingestion_time DESC) AS rn
-        FROM s_resolved WHERE player_id IS NOT NULL) WHERE rn = 1),
-t_latest AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player_id, season ORDER BY ingestion_time DESC) AS rn
-        FROM t_resolved WHERE player_id IS NOT NULL) WHERE rn = 1),
-seasons AS (SELECT season FROM s_latest UNION SELECT season FROM t_latest),
-fallback AS (
-  SELECT player_id, (SELECT max(season) FROM seasons) AS season, league, team_id FROM players WHERE team_id IS NOT NULL),
-candidates AS (
-  SELECT player_id, season, league, team_id, 1 AS prio, 'understat' AS resolved_via FROM s_latest WHERE team_id IS NOT NULL
+facts AS MATERIALIZED (
+  SELECT row_number() OVER () AS fact, * FROM (
+    SELECT 1 AS prio, 'understat' AS via, * FROM s_stats UNION ALL BY NAME SELECT 2 AS prio, 'statbunker' AS via, * FROM t_stats)),
+votes AS (
+  SELECT fact, nm.player_id, 1 AS rule FROM facts f, name_map nm
+  WHERE nm.source = f.via AND nm.raw_player_name = f.raw_player_name AND nm.team_id = f.team_id
   UNION ALL
-  SELECT player_id, season, league, team_id, 2, 'statbunker' FROM t_latest WHERE team_id IS NOT NULL
+  SELECT fact, player_id, 2 FROM facts JOIN players ON players.player_id = facts.understat_id + 100000000
   UNION ALL
-  SELECT player_id, season, league, team_id, 3, 'fdo_fallback' FROM fallback),
-resolved AS (
-  SELECT player_id, season, arg_min(league, prio) AS league, arg_min(team_id, prio) AS team_id,
-         arg_min(resolved_via, prio) AS resolved_via
-  FROM candidates GROUP BY 1, 2),
+  SELECT fact, ids[1], 3 FROM facts
+  JOIN (SELECT {_sql_norm('player_name')} AS n, list(player_id) AS ids FROM players GROUP BY 1 HAVING count(*) = 1) ON n = {_sql_norm('raw_player_name')}),
+owned AS (
+  SELECT facts.*, player_id FROM facts JOIN (SELECT fact, arg_min(player_id, rule) AS player_id FROM votes GROUP BY fact) USING (fact)),
+current_facts AS (SELECT unnest(arg_max(o, o.ingestion_time)) FROM owned o GROUP BY o.via, o.player_id, o.season),
+s_latest AS (
+  SELECT *, {_sql_half_up('xg_cents')} AS xg90, {_sql_half_up('xa_cents')} AS xa90 FROM current_facts WHERE via = 'understat'),
+t_latest AS (FROM current_facts WHERE via = 'statbunker'),
+seasons AS (SELECT DISTINCT season FROM current_facts),
+fallback AS (
+  SELECT player_id, max(seasons.season) AS season, any_value(league) AS league, team_id
+  FROM players, seasons WHERE team_id IS NOT NULL GROUP BY player_id, team_id),
+attributed AS (
+  SELECT player_id, season, arg_min(league, prio) FILTER (team_id IS NOT NULL) AS league,
+         arg_min(team_id, prio) AS team_id, arg_min(via, prio) FILTER (team_id IS NOT NULL) AS resolved_via,
+         count(DISTINCT via) FILTER (via <> 'fdo_fallback') = 2
+           AND any_value(team_id) FILTER (prio = 1) IS DISTINCT FROM any_value(team_id) FILTER (prio = 2) AS source_disagreement,
+         any_value(apps) FILTER (prio = 1) AS apps, any_value(minutes) FILTER (prio = 1) AS minutes,
+         any_value(goals) FILTER (prio = 1) AS understat_goals, any_value(assists) FILTER (prio = 1) AS assists,
+         any_value(xg_cents) FILTER (prio = 1) AS xg_cents, any_value(xa_cents) FILTER (prio = 1) AS xa_cents,
+         any_value(goals) FILTER (prio = 2) AS statbunker_goals
+  FROM (FROM current_facts UNION ALL BY NAME SELECT *, 3 AS prio, 'fdo_fallback' AS via FROM fallback)
+  GROUP BY player_id, season HAVING count(team_id) > 0),
 pts AS (
-  SELECT r.*, p.team_id AS parent_team_id,
-         s.player_id IS NOT NULL AND t.player_id IS NOT NULL AND s.team_id IS DISTINCT FROM t.team_id AS source_disagreement,
-         s.apps, s.minutes, s.goals AS understat_goals, s.assists, s.xg_cents / 100.0 AS xg, s.xa_cents / 100.0 AS xa,
-         s.xg90, s.xa90, t.goals AS statbunker_goals
-  FROM resolved r
-  LEFT JOIN players p ON p.player_id = r.player_id
-  LEFT JOIN s_latest s ON s.player_id = r.player_id AND s.season = r.season
-  LEFT JOIN t_latest t ON t.player_id = r.player_id AND t.season = r.season)"""
+  SELECT a.* EXCLUDE (xg_cents, xa_cents), xg_cents / 100.0 AS xg, xa_cents / 100.0 AS xa,
+         {_sql_half_up('xg_cents')} AS xg90, {_sql_half_up('xa_cents')} AS xa90, p.team_id AS parent_team_id
+  FROM attributed a LEFT JOIN players p ON p.player_id = a.player_id),
+resolved AS (SELECT player_id, season, league, team_id, resolved_via FROM pts)"""
 
 _SQL_MARTS = _SQL_PTS + "," + SQL_MATCHES + "," + SQL_TEAMS + f""",
-open_seasons AS (SELECT DISTINCT league, season FROM matches WHERE status NOT IN ('FINISHED', 'AWARDED')),
+open_seasons AS (SELECT league, season FROM matches GROUP BY ALL HAVING bool_or(status NOT IN ('FINISHED', 'AWARDED'))),
+placed AS (
+  SELECT pts.*, t.team_name, home.team_name AS parent_team_name,
+         coalesce(parent_team_id <> pts.team_id OR (pts.team_id IS NULL AND parent_team_id IS NOT NULL), false)
+           AND EXISTS (FROM open_seasons o WHERE o.league = pts.league AND o.season = pts.season) AS is_on_loan
+  FROM pts LEFT JOIN teams t ON t.team_id = pts.team_id LEFT JOIN teams home ON home.team_id = parent_team_id),
 performance AS (
-  SELECT x.player_id, p.player_name, x.season, x.team_id, t.team_name, x.league, x.resolved_via, x.parent_team_id,
-         pt.team_name AS parent_team_name,
-         x.parent_team_id IS NOT NULL AND x.team_id IS DISTINCT FROM x.parent_team_id AND o.season IS NOT NULL AS is_on_loan,
-         coalesce(x.statbunker_goals, x.understat_goals) AS goals, x.assists, x.apps, x.minutes, x.xg, x.xa, x.xg90, x.xa90
-  FROM pts x JOIN players p ON p.player_id = x.player_id
-  LEFT JOIN teams t ON t.team_id = x.team_id LEFT JOIN teams pt ON pt.team_id = x.parent_team_id
-  LEFT JOIN open_seasons o ON o.league = x.league AND o.season = x.season),
-last_team AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY season DESC) AS rn FROM pts) WHERE rn = 1),
+  SELECT player_id, player_name, season, placed.team_id, team_name, placed.league, resolved_via, parent_team_id, parent_team_name, is_on_loan,
+         coalesce(statbunker_goals, understat_goals) AS goals, assists, apps, minutes, xg, xa, xg90, xa90
+  FROM placed JOIN players USING (player_id)),
 profile AS (
   SELECT p.player_id, p.player_name, p.position, p.nationality, p.date_of_birth,
-         CAST(date_part('year', age(DATE '{TODAY}', p.date_of_birth)) AS BIGINT) AS age,
-         p.shirt_number, l.team_id, t.team_name, l.parent_team_id, pt.team_name AS parent_team_name,
-         l.parent_team_id IS NOT NULL AND l.team_id IS DISTINCT FROM l.parent_team_id AND o.season IS NOT NULL AS is_on_loan,
-         coalesce(l.league, p.league) AS league
-  FROM players p LEFT JOIN last_team l ON l.player_id = p.player_id
-  LEFT JOIN teams t ON t.team_id = l.team_id LEFT JOIN teams pt ON pt.team_id = l.parent_team_id
-  LEFT JOIN open_seasons o ON o.league = l.league AND o.season = l.season)"""
+         CAST(date_part('year', age(DATE '{TODAY}', p.date_of_birth)) AS BIGINT) AS age, p.shirt_number,
+         l.now.team_id AS team_id, l.now.team_name AS team_name, l.now.parent_team_id AS parent_team_id,
+         l.now.parent_team_name AS parent_team_name, coalesce(l.now.is_on_loan, false) AS is_on_loan, coalesce(l.now.league, p.league) AS league
+  FROM players p LEFT JOIN (SELECT player_id, arg_max(placed, season) AS now FROM placed GROUP BY player_id) l USING (player_id))"""
 
 
 def _players(spark, sf):
@@ -231,7 +224,7 @@ def top_scorers(spark, sf):
 
 @query("top_assists", f"WITH {_SQL_MARTS} SELECT * FROM performance WHERE assists > 0 AND season = '1998-1999' AND league = 'N' ORDER BY assists DESC, player_name, player_id LIMIT 50")
 def top_assists(spark, sf):
-    return _plain(reads.top_players(_performance(spark, sf), "assists", league="N", season="1998-1999", limit=75))
+    return _plain(reads.top_players(_performance(spark, sf), "assists", league="N", season="1998-1999", limit=50))
 
 
 _SQL_GROUP = "CASE WHEN p.position IN ('Goalkeeper', 'Defence', 'Midfield', 'Offence') THEN p.position ELSE 'No Position Data' END"
