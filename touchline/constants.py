@@ -45,6 +45,7 @@ DEFAULT_TOP = 10
 MAX_TOP = 50
 ADHOC_ROW_LIMIT = 100
 SEARCH_LIMIT = 10
+MIN_SEARCH_LENGTH = 2
 FUZZY_THRESHOLD = 0.3
 THROTTLE_WINDOW_SECONDS = 60
 THROTTLE_LIMIT = 10
@@ -107,3 +108,12 @@ INTENT_KEYWORDS = [
     ]),
 ]
 UNKNOWN_INTENT = "UNKNOWN"
+
+#: What a refused statement is told.
+REFUSALS = {
+    "several": "multiple statements are not allowed",
+    "not_select": "only SELECT/WITH statements are allowed",
+    "keyword": "statement contains a disallowed keyword",
+    "no_table": "no gold.* table referenced",
+    "unknown": "unknown table(s): ",
+}

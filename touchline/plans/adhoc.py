@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.constants import ADHOC_ROW_LIMIT, ADHOC_TABLES
+from touchline.constants import ADHOC_ROW_LIMIT, ADHOC_TABLES, REFUSALS
 from touchline.plans.textlog import audit_sql
 
 
@@ -14,21 +15,43 @@ class RefusedStatement(ValueError):
     """The statement failed the audit."""
 
 
+_QUOTED = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/""", re.S)
+_MART = re.compile(r"(?i)\bgold\.(\w+)\b(?!\s*\()")
+
+
+def _relations(spark: SparkSession, sql: str) -> tuple[set[str], set[str]]:
+    """Relations that the parsed statement reads, wherever they stand, and the names that it defines itself."""
+    tree = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).treeString()
+    read = {r.replace(", ", ".").lower() for r in re.findall(r"UnresolvedRelation \[([^\n]*?)\], \[", tree)}
+    return read, {n.strip().lower() for names in re.findall(r"(?:CTE|UnresolvedWith) \[([^\]\n]*)\]", tree) for n in names.split(",")}
+
+
 def run_readonly(spark: SparkSession, marts: dict[str, DataFrame], statement: str) -> DataFrame:
     """Audit one statement and run it over the allow-listed marts, at most 100 rows.
 
-    Marts are visible as ``gold.<name>`` only; any other relation in FROM or JOIN must be a name the
-    statement itself defines, so tables of the catalog stay out of reach.
+    Spark's parser says which relations the statement reads. Each must be a mart, as ``gold.<name>``, or a name that the
+    statement defines and that no view or table of the session has; so files and the catalog stay out of reach.
     """
     one = spark.createDataFrame([(statement,)], "statement string")
     verdict = audit_sql(one, "statement").first()
     if verdict["verdict"] != "ok":
         raise RefusedStatement(verdict["verdict"])
     sql = verdict["safe_sql"]
-    own = {n.lower() for n in re.findall(r"(?i)(?:\bWITH\b|,)\s*(\w+)\s+AS\s*\(", sql)}
-    for name in re.findall(r"(?i)\b(?:FROM|JOIN)\s+([\w.`]+)", sql):
-        if not name.lower().startswith("gold.") and name.lower() not in own:
-            raise RefusedStatement(f"unknown table(s): {name}")
+    try:
+        read, own = _relations(spark, sql)
+    except ParseException as error:
+        raise RefusedStatement("the statement cannot be parsed") from error
+    allowed = {f"gold.{t}" for t in ADHOC_TABLES if t in marts}
+    unknown = sorted(r for r in read - allowed if r not in own or spark.catalog.tableExists(r))
+    if unknown:
+        raise RefusedStatement(REFUSALS["unknown"] + ", ".join(unknown))
+    escaped = sql.replace("{", "{{").replace("}", "}}")
+    pieces, at = [], 0
+    for quoted in [*_QUOTED.finditer(escaped), None]:
+        end = quoted.start() if quoted else len(escaped)
+        pieces.append(_MART.sub(lambda m: "{gold_" + m.group(1).lower() + "}", escaped[at:end]))
+        if quoted:
+            pieces.append(quoted.group())
+            at = quoted.end()
     args = {f"gold_{t}": marts[t] for t in ADHOC_TABLES if t in marts}
-    bound = re.sub(r"(?i)\bgold\.(\w+)(?=\s|$|[,;)])", lambda m: "{gold_" + m.group(1).lower() + "}", sql.replace("{", "{{").replace("}", "}}"))
-    return spark.sql(bound, **args).limit(ADHOC_ROW_LIMIT)
+    return spark.sql("".join(pieces), **args).limit(ADHOC_ROW_LIMIT)

@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.constants import FUZZY_THRESHOLD, SEARCH_LIMIT
-from touchline.functions.text import lower_trim
+from touchline.constants import FUZZY_THRESHOLD, MIN_SEARCH_LENGTH, SEARCH_LIMIT
 from touchline.operators.matching import similarity_join, substring_join
 from touchline.operators.ranking import latest_per_key, topk_per_key
 
@@ -26,12 +25,18 @@ def _hits(df: DataFrame, priority: int) -> DataFrame:
     return df.withColumn("priority", F.lit(priority)).select(*HIT)
 
 
+def _asked(queries: DataFrame) -> DataFrame:
+    """Distinct queries with their text without outer white space, in lower case; texts under two characters find nothing."""
+    text = F.lower(F.regexp_replace("query", r"^\s+|\s+$", ""))
+    return queries.select("query").distinct().withColumn("_text", text).filter(F.length("_text") >= MIN_SEARCH_LENGTH)
+
+
 def alias_tier(queries: DataFrame, aliases: DataFrame, entities: DataFrame, entity_type: str) -> DataFrame:
     """The trimmed lower-cased query equals an alias."""
     mine = aliases.filter(F.col("entity_type") == entity_type).select(
         F.col("alias").alias("_alias"), F.col("entity_id").alias("id")
     )
-    asked = queries.select("query").distinct().withColumn("_alias", lower_trim("query"))
+    asked = _asked(queries).withColumnRenamed("_text", "_alias")
     return _hits(asked.join(mine, "_alias").join(entities, "id"), 1)
 
 
@@ -42,7 +47,7 @@ def _head_per_name(entities: DataFrame) -> DataFrame:
 
 def substring_tier(queries: DataFrame, entities: DataFrame) -> DataFrame:
     """Names containing the query (accents and case folded), first by name."""
-    asked = queries.select("query").distinct().withColumn("_text", lower_trim("query"))
+    asked = _asked(queries)
     texts = substring_join(asked, "_text", entities, "name")
     # the first names of a query decide before copies of a name are joined back
     head = topk_per_key(texts, ["_text"], [F.col("name").asc()], SEARCH_LIMIT).drop("rank")
@@ -53,7 +58,7 @@ def substring_tier(queries: DataFrame, entities: DataFrame) -> DataFrame:
 
 def fuzzy_tier(queries: DataFrame, entities: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """Most similar names above the threshold, for queries the earlier tiers left short."""
-    asked = queries.select("query").distinct()
+    asked = _asked(queries).select("query")
     if earlier is not None:
         full = earlier.groupBy("query").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SEARCH_LIMIT)
         asked = asked.join(full, "query", "left_anti")

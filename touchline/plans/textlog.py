@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.constants import (
-    ADHOC_ROW_LIMIT, ADHOC_TABLES, INJECTION_PHRASES, INTENT_KEYWORDS, REFUSED_SQL_KEYWORDS, UNKNOWN_INTENT,
+    ADHOC_ROW_LIMIT, ADHOC_TABLES, INJECTION_PHRASES, INTENT_KEYWORDS, REFUSALS, REFUSED_SQL_KEYWORDS, UNKNOWN_INTENT,
 )
 from touchline.functions.numbers import token_cost
 from touchline.operators.mentions import resolve_mentions
@@ -65,11 +65,11 @@ def audit_sql(df: DataFrame, statement: str, limit: int = ADHOC_ROW_LIMIT) -> Da
     refused = r"(?iU)\b(" + "|".join(REFUSED_SQL_KEYWORDS) + r")\b"
     verdict = (
         F.when(b.isNull(), F.lit(None))
-        .when(b.contains(";"), F.lit("multiple statements are not allowed"))
-        .when(~b.rlike(r"(?iU)^(SELECT|WITH)\b"), F.lit("only SELECT/WITH statements are allowed"))
-        .when(b.rlike(refused), F.lit("statement contains a disallowed keyword"))
-        .when(F.size("_tables") == 0, F.lit("no gold.* table referenced"))
-        .when(F.size("_unknown") > 0, F.concat(F.lit("unknown table(s): "), F.array_join("_unknown", ", ")))
+        .when(b.contains(";"), F.lit(REFUSALS["several"]))
+        .when(~b.rlike(r"(?iU)^(SELECT|WITH)\b"), F.lit(REFUSALS["not_select"]))
+        .when(b.rlike(refused), F.lit(REFUSALS["keyword"]))
+        .when(F.size("_tables") == 0, F.lit(REFUSALS["no_table"]))
+        .when(F.size("_unknown") > 0, F.concat(F.lit(REFUSALS["unknown"]), F.array_join("_unknown", ", ")))
         .otherwise(F.lit("ok"))
     )
     limit_clause = r"(?iU)\bLIMIT\s+(\d+)\b"
