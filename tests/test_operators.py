@@ -22,31 +22,28 @@ def events(spark, n=600, seed=3):
     return spark.createDataFrame(data, "k string, ts timestamp_ntz, id bigint, x bigint")
 
 
-@pytest.mark.parametrize("rows_per_task", [0, 10**9])
-def test_running_totals_equal_a_window(spark, rows, rows_per_task):
+def test_running_totals_equal_a_window(spark, rows):
     df = events(spark)
     order = [F.col("ts").asc(), F.col("id").asc()]
-    got = sliced.running_totals(df, ["k"], order, F.to_date("ts"), {"total": "x"}, "nth", rows_per_task=rows_per_task)
+    got = sliced.running_totals(df, ["k"], order, F.to_date("ts"), {"total": "x"}, "nth")
     w = Window.partitionBy("k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumns({"total": F.sum("x").over(w), "nth": F.count(F.lit(1)).over(w)})
     cols = ["k", "ts", "id", "x", "total", "nth"]
     assert rows(got, *cols) == rows(want, *cols)
 
 
-@pytest.mark.parametrize("rows_per_task", [0, 10**9])
-def test_rank_within_equals_row_number(spark, rows, rows_per_task):
+def test_rank_within_equals_row_number(spark, rows):
     df = events(spark).fillna(0, ["x"])
     order = [F.col("x").desc(), F.col("id").asc()]
-    got = sliced.rank_within(df, ["k"], order, F.col("x"), rows_per_task=rows_per_task)
+    got = sliced.rank_within(df, ["k"], order, F.col("x"))
     want = df.withColumn("position", F.row_number().over(Window.partitionBy("k").orderBy(*order)).cast("bigint"))
     assert rows(got, "id", "position") == rows(want, "id", "position")
 
 
-@pytest.mark.parametrize("rows_per_task", [0, 10**9])
-def test_as_of_join_against_brute_force(spark, rows, rows_per_task):
+def test_as_of_join_against_brute_force(spark, rows):
     facts = events(spark, 200, 1).withColumnsRenamed({"ts": "at", "id": "fact"}).drop("x")
     probes = events(spark, 300, 2).drop("x")
-    got = sliced.as_of_join(probes, facts, ["k"], "ts", "at", F.to_date, ["fact"], rows_per_task=rows_per_task)
+    got = sliced.as_of_join(probes, facts, ["k"], "ts", "at", F.to_date, ["fact"])
     known = [tuple(r) for r in facts.select("k", "at", "fact").collect()]
     want = []
     for k, ts, i in probes.select("k", "ts", "id").collect():
@@ -55,15 +52,14 @@ def test_as_of_join_against_brute_force(spark, rows, rows_per_task):
     assert rows(got, "id", "fact", "at") == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("rows_per_task", [0, 10**9])
-def test_valid_at_join(spark, rows, rows_per_task):
+def test_valid_at_join(spark, rows):
     history = spark.createDataFrame(
         [("a", DAY, DAY + dt.timedelta(days=2), "v1"), ("a", DAY + dt.timedelta(days=2), None, "v2"), ("b", DAY, DAY + dt.timedelta(days=1), "w")],
         "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, v string",
     )
     at = [("a", DAY), ("a", DAY + dt.timedelta(days=2)), ("a", DAY - dt.timedelta(days=1)), ("b", DAY + dt.timedelta(days=1)), ("c", DAY)]
     probes = spark.createDataFrame(at, "k string, t timestamp_ntz")
-    got = sliced.valid_at_join(probes, history, ["k"], "t", "valid_from", "valid_to", F.to_date, rows_per_task=rows_per_task)
+    got = sliced.valid_at_join(probes, history, ["k"], "t", "valid_from", "valid_to", F.to_date)
     assert rows(got, "k", "v") == [("a", "v1"), ("a", "v2")]
 
 

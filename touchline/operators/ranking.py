@@ -41,5 +41,7 @@ def unique_name_index(df: DataFrame, name: Column, id_col: str, out_name: str =
 
 
 def top_n(df: DataFrame, order: Sequence[Column], limit: int, max_limit: int | None = None) -> DataFrame:
-    """Ordered head, the limit capped at ``max_limit``."""
-    return df.orderBy(*order).limit(limit if max_limit is None else min(limit, max_limit))
+    """L1: ordered head; a limit outside 1 to ``max_limit`` is refused."""
+    if limit < 1 or max_limit is not None and limit > max_limit:
+        raise ValueError(f"limit {limit} is not between 1 and {max_limit}")
+    return df.orderBy(*order).limit(limit)

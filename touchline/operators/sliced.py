@@ -1,11 +1,9 @@
 """Ordered scans per key that never gather an oversized key in one task.
 
-Before planning, one aggregation counts the rows of the largest key. While it fits a task, an
-ordinary window over the key is the cheapest plan. Beyond ``rows_per_task`` the key is cut into
-slices that follow its order (an hour, a month, a value of the leading sort column): each slice is
-scanned on its own, and what the earlier slices contribute arrives as one *carry row* placed in front
-of the slice. Slice totals are pre-aggregated map-side, so the window over them sees one row per slice.
-``slice_by`` must be monotone in the order and fine enough that one slice of one key fits a task.
+A key is cut into slices that follow its order (an hour, a month, a value of the leading sort column): each slice is scanned
+on its own, and what the earlier slices contribute arrives as one *carry row* placed in front of the slice. Slice totals are
+pre-aggregated map-side, so the window over them sees one row per slice. The plan is the same for every input and nothing is
+measured beforehand. ``slice_by`` must be monotone in the order and fine enough that one slice of one key fits a task.
 """
 
 from __future__ import annotations
@@ -16,18 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_TASK = 5_000_000
-
 _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO = (Window.unboundedPreceding, 0)
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the most frequent key (a map-side combined count; one number reaches the driver)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
-
-
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
@@ -36,22 +26,13 @@ def running_totals(
     sums: Mapping[str, str] | None = None,
     row_number: str | None = None,
     descending: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
-    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Running sums ``{output: input}`` and the running row number of each key.
 
     Same result as ``sum(x) over (partition by keys order by order rows unbounded preceding)``,
-    including NULL until the first non-NULL input. ``sized_by`` is a cheaper table with at least as
-    many rows per key, to measure the largest key on.
+    including NULL until the first non-NULL input.
     """
     sums = dict(sums or {})
-    if largest_group(df if sized_by is None else sized_by, keys) <= rows_per_task:
-        scan = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*_UP_TO)
-        outputs = {name: F.sum(c).over(scan) for name, c in sums.items()}
-        if row_number:
-            outputs[row_number] = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
-        return df.withColumns(outputs)
     steps = {f"_m{i}": F.col(c) for i, c in enumerate(sums.values())}
     steps["_n"] = F.lit(1).cast("bigint")
     rows = df.withColumn("_slice", slice_by).withColumns(steps)
@@ -78,14 +59,9 @@ def rank_within(
     slice_by: Column,
     rank_col: str = "position",
     descending: bool = True,
-    rows_per_task: int = ROWS_PER_TASK,
-    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Row number of each key's rows in ``order``; slices follow the leading sort column."""
-    return running_totals(
-        df, keys, order, slice_by, row_number=rank_col, descending=descending, rows_per_task=rows_per_task,
-        sized_by=sized_by,
-    )
+    return running_totals(df, keys, order, slice_by, row_number=rank_col, descending=descending)
 
 
 def as_of_join(
@@ -96,7 +72,6 @@ def as_of_join(
     fact_time: str,
     slice_of: Callable[[Column], Column],
     tie_break: Sequence[str] = (),
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Every probe with the latest fact of its key at ``fact_time <= probe_time`` (NULLs if none).
 
@@ -112,16 +87,12 @@ def as_of_join(
         F.lit(1).alias("_kind"),
     )
     asked = probes.withColumns({"_t": F.col(probe_time), "_kind": F.lit(2)})
-    sizes = facts.select(*keys).unionByName(probes.select(*keys))
-    parts, groups = [moved, asked], [*keys]
-    if largest_group(sizes, keys) > rows_per_task:
-        groups = [*keys, "_slice"]
-        moved, asked = (df.withColumn("_slice", slice_of(F.col("_t"))) for df in parts)
-        parts = [_carried_facts(moved, asked, keys), moved, asked]
+    moved, asked = (df.withColumn("_slice", slice_of(F.col("_t"))) for df in (moved, asked))
+    parts = [_carried_facts(moved, asked, keys), moved, asked]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     # the carry row first, then time order with facts ahead of probes of the same instant
     scan = (
-        Window.partitionBy(*groups)
+        Window.partitionBy(*keys, "_slice")
         .orderBy((F.col("_kind") == 0).desc(), F.col("_t").asc(), F.col("_kind").asc(), F.col("_tie").asc())
         .rowsBetween(*_UP_TO)
     )
@@ -152,13 +123,12 @@ def valid_at_join(
     valid_from: str,
     valid_to: str,
     slice_of: Callable[[Column], Column],
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """The version of each key valid at the probe time.
 
     Versions of one key must not overlap, so the latest one started is the only candidate.
     Probes without a valid version are dropped, as in an inner interval join.
     """
-    joined = as_of_join(probes, history, keys, probe_time, valid_from, slice_of, rows_per_task=rows_per_task)
+    joined = as_of_join(probes, history, keys, probe_time, valid_from, slice_of)
     open_or_later = F.col(valid_to).isNull() | (F.col(valid_to) > F.col(probe_time))
     return joined.filter(F.col(valid_from).isNotNull() & open_or_later)

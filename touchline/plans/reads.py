@@ -66,7 +66,7 @@ def league_matches(results: DataFrame, standings: DataFrame, league: str, season
 def _ranked_tables(teams: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Zero-filled records ranked inside each table."""
     rows = teams.join(stats, [*keys, "team_id"], "left").fillna(0, subset=RECORD)
-    return rank_within(rows, keys, _table_order(), slice_by=F.col("points"), sized_by=teams)
+    return rank_within(rows, keys, _table_order(), slice_by=F.col("points"))
 
 
 def standings_as_of(
@@ -97,7 +97,7 @@ def standings_at_dates(standings: DataFrame, by_matchday: DataFrame, dates: Data
     )
     tables = [*keys, "as_of"]
     filled = found.fillna(0, subset=RECORD)
-    ranked = rank_within(filled, tables, _table_order(), slice_by=F.col("points"), sized_by=probes)
+    ranked = rank_within(filled, tables, _table_order(), slice_by=F.col("points"))
     return ranked.select(*tables, *TEAM_COLUMNS, "position", *RECORD)
 
 

@@ -48,21 +48,21 @@ def primary_matches(bronze: DataFrame) -> DataFrame:
     rows = _rows(docs, F.col("doc.matches"))
     return rows.select(
         *CARRIED,
-        F.col("r.id").alias("source_match_id"),
-        "r.matchday",
+        F.col("r.id").cast("int").alias("source_match_id"),
+        F.col("r.matchday").cast("int").alias("matchday"),
         "r.status",
         wall_clock("r.utcDate").alias("utc_date"),
-        F.col("r.homeTeam.id").alias("home_team_id"),
-        F.col("r.awayTeam.id").alias("away_team_id"),
-        F.col("r.score.fullTime.home").alias("home_score"),
-        F.col("r.score.fullTime.away").alias("away_score"),
+        F.col("r.homeTeam.id").cast("int").alias("home_team_id"),
+        F.col("r.awayTeam.id").cast("int").alias("away_team_id"),
+        F.col("r.score.fullTime.home").cast("int").alias("home_score"),
+        F.col("r.score.fullTime.away").cast("int").alias("away_score"),
     )
 
 
 def primary_players(bronze: DataFrame) -> DataFrame:
     """The squad's team id is repeated on every player."""
     docs = _documents(bronze, PRIMARY, "players", schemas.SQUAD_PAYLOAD)
-    rows = _rows(docs, F.col("doc.squad"), F.col("doc.id").alias("team_id"))
+    rows = _rows(docs, F.col("doc.squad"), F.col("doc.id").cast("int").alias("team_id"))
     fields = {
         "player_id": ("id", "int"), "player_name": ("name", "string"), "position": ("position", "string"),
         "date_of_birth": ("dateOfBirth", "date"), "nationality": ("nationality", "string"),
@@ -93,7 +93,7 @@ def primary_standings(bronze: DataFrame) -> DataFrame:
 
 def primary_team_ids(bronze: DataFrame) -> DataFrame:
     """Team ids of the TOTAL block, missing ids dropped."""
-    return _total_rows(bronze).select(*CARRIED, F.col("r.team.id").alias("team_id")).filter("team_id is not null")
+    return _total_rows(bronze).select(*CARRIED, F.col("r.team.id").cast("int").alias("team_id")).filter("team_id is not null")
 
 
 def tertiary_player_stats(bronze: DataFrame, team_name_map: DataFrame) -> DataFrame:

@@ -18,7 +18,6 @@ from touchline.functions.dates import season_of_year
 from touchline.functions.numbers import per90
 from touchline.operators.lineage import cut_lineage
 from touchline.operators.ranking import latest_per_key
-from touchline.sources.tables import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,10 +36,9 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, sf: str, name: str, heavy: bool = False) -> DataFrame:
-    """A test table; ``heavy`` spreads a file of few row groups before costly per-row work."""
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    return spread(df) if heavy else df
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A test table."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 # --- teams ------------------------------------------------------------------

@@ -128,7 +128,7 @@ def standings_at_dates(spark, sf):
     f"WITH {SQL_RESULTS} SELECT * FROM results WHERE status = 'FINISHED' ORDER BY utc_date DESC, source_match_id LIMIT 50",
 )
 def recent_matches(spark, sf):
-    return reads.recent_matches(_results(spark, sf), limit=80)  # capped at 50
+    return reads.recent_matches(_results(spark, sf), limit=50)
 
 
 @query(

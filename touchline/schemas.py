@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 MATCHES_PAYLOAD = (
-    "matches ARRAY<STRUCT<id:INT,matchday:INT,status:STRING,utcDate:STRING,homeTeam:STRUCT<id:INT>,"
-    "awayTeam:STRUCT<id:INT>,score:STRUCT<fullTime:STRUCT<home:INT,away:INT>>>>"
+    "matches ARRAY<STRUCT<id:STRING,matchday:STRING,status:STRING,utcDate:STRING,homeTeam:STRUCT<id:STRING>,"
+    "awayTeam:STRUCT<id:STRING>,score:STRUCT<fullTime:STRUCT<home:STRING,away:STRING>>>>"
 )
 SQUAD_PAYLOAD = (
-    "id INT, squad ARRAY<STRUCT<id:INT,name:STRING,position:STRING,dateOfBirth:STRING,"
-    "nationality:STRING,shirtNumber:INT>>"
+    "id STRING, squad ARRAY<STRUCT<id:STRING,name:STRING,position:STRING,dateOfBirth:STRING,"
+    "nationality:STRING,shirtNumber:STRING>>"
 )
 STANDINGS_PAYLOAD = (
-    "standings ARRAY<STRUCT<type:STRING,table:ARRAY<STRUCT<position:INT,"
-    "team:STRUCT<id:INT,name:STRING,shortName:STRING,tla:STRING>,playedGames:INT,form:STRING,won:INT,"
-    "draw:INT,lost:INT,points:INT,goalsFor:INT,goalsAgainst:INT,goalDifference:INT>>>>"
+    "standings ARRAY<STRUCT<type:STRING,table:ARRAY<STRUCT<position:STRING,"
+    "team:STRUCT<id:STRING,name:STRING,shortName:STRING,tla:STRING>,playedGames:STRING,form:STRING,won:STRING,"
+    "draw:STRING,lost:STRING,points:STRING,goalsFor:STRING,goalsAgainst:STRING,goalDifference:STRING>>>>"
 )
 TERTIARY_STANDINGS_PAYLOAD = (
     "ARRAY<STRUCT<rank:STRING,team:STRING,club_id:STRING,played:STRING,wins:STRING,draws:STRING,"

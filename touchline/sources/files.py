@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +15,16 @@ from touchline.operators.ranking import latest_per_key
 LISTED = ["rel_path", "source", "entity_type", "date", "file_name", "mtime", "size_bytes"]
 
 
+def _below(path: Column, root: str) -> Column:
+    """The part of a file's path after the whole of ``root`` (a root without leading slash may lie anywhere)."""
+    bare = re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", root).rstrip("/")
+    start = r"^(?:[A-Za-z][\w+.-]*:)?(?://[^/]*)?" if bare.startswith("/") else "^.*?/"
+    return F.regexp_extract(path, rf"{start}\Q{bare}\E/(.*)$", 1)
+
+
 def _relative(root: str) -> Column:
     """Path below ``root`` of the file a row was read from."""
-    name = root.rstrip("/").rsplit("/", 1)[-1]
-    return F.regexp_extract(F.col("_metadata.file_path"), rf"/\Q{name}\E/(.*)$", 1)
+    return _below(F.col("_metadata.file_path"), root)
 
 
 def with_path_parts(df: DataFrame, root: str) -> DataFrame:
@@ -49,10 +56,9 @@ def discover_files(
         .load(root)
         .select("path", F.col("modificationTime").alias("mtime"), F.col("length").alias("size_bytes"))
     )
-    name = root.rstrip("/").rsplit("/", 1)[-1]
     parts = F.split("rel_path", "/")
     deep = F.size(parts) >= 4
-    placed = listing.withColumn("rel_path", F.regexp_extract("path", rf"/\Q{name}\E/(.*)$", 1)).withColumns({
+    placed = listing.withColumn("rel_path", _below(F.col("path"), root)).withColumns({
         "source": F.when(deep, parts[0]),
         "entity_type": F.when(deep, parts[1]),
         "date": F.when(deep, parts[2]),

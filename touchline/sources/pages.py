@@ -26,7 +26,7 @@ class _FirstTable(HTMLParser):
     def __init__(self, css_class: str | None):
         super().__init__(convert_charrefs=True)
         self.css_class, self.rows, self.state = css_class, [], "before"
-        self.depth, self.in_body, self.cell, self.open = 0, False, None, []
+        self.depth, self.bodies, self.in_body, self.cell, self.open = 0, 0, False, None, []
 
     def handle_starttag(self, tag, attrs):
         attrs = dict(attrs)
@@ -38,7 +38,9 @@ class _FirstTable(HTMLParser):
         if self.state != "inside":
             return
         if tag == "tbody":
-            self.in_body = True
+            if self.depth == 1:
+                self.bodies += 1
+            self.in_body = self.bodies == 1
         elif tag == "tr" and self.in_body:
             self.rows.append([])
         elif tag == "td" and self.in_body and self.rows:

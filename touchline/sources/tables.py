@@ -19,16 +19,6 @@ def read_jdbc(
     return reader.load()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan that comes in fewer splits than there are cores to all of them.
-
-    For per-row heavy work (parsing, text) on small or unsplittable files; a scan with enough splits is
-    returned as it is. Pass a plain scan: asking a plan with shuffles for its splits would run them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def replace_table(df: DataFrame, table: str) -> None:
     """Full replace of a table, a new snapshot where its catalog is a lakehouse catalog.
 

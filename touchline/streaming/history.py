@@ -15,10 +15,10 @@ from touchline.sources.tables import VersionedTable
 
 def apply_batch(
     table: VersionedTable, batch: DataFrame, batch_id: int, keys: Sequence[str], check_cols: Sequence[str],
-    run_ts: Column,
+    run_ts: Column, stream: str = "",
 ) -> bool:
-    """One history run for one batch; a batch already committed is skipped."""
-    label = f"batch-{batch_id}"
+    """One history run for one batch; a batch that this stream has already committed is skipped."""
+    label = f"{stream}batch-{batch_id}"
     if not table.snapshots().filter(F.col("operation") == label).isEmpty():
         return False
     version = table.latest_version()
@@ -34,8 +34,10 @@ def start_history(
     """Keep the history of a streamed standings table: the newest row per key of each batch counts."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        # batch numbers start again with each new checkpoint, whose metadata names it
+        stream = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
         order = [F.col(loaded_at).desc(), *[F.col(c).asc_nulls_last() for c in check_cols]]
-        apply_batch(table, latest_per_key(batch, keys, order), batch_id, keys, check_cols, run_ts())
+        apply_batch(table, latest_per_key(batch, keys, order), batch_id, keys, check_cols, run_ts(), f"{stream}-")
 
     return (
         standings.writeStream.foreachBatch(run)
