@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline.constants import PRIMARY, SECONDARY, TERTIARY
 from touchline.functions.json import canonical_hash, json_field, rows_as_json
-from touchline.plans import adhoc, gold, staging
+from touchline.plans import adhoc, gold, silver, staging
 from touchline.registry.base import SQL_MATCHES, SQL_TEAMS, matches, query, table, teams
 from touchline.sources import pages
 from touchline.sources.bronze import new_records, outcome_counts
@@ -81,13 +81,30 @@ def _standings_docs(spark, sf):
     return _bronze(table(spark, sf, "part"), PRIMARY, "standings", _STANDINGS_PAYLOAD, "p_brand", "p_type", "timestamp_ntz'2024-01-01'")
 
 
-@query("stage_standings", """SELECT p_brand AS season, p_type AS league, TIMESTAMP '2024-01-01' AS ingestion_time, p_partkey AS team_id, p_name AS team_name, p_type AS team_short_name, p_brand AS team_tla, p_size::BIGINT AS position,
+_SQL_STANDINGS = """SELECT p_brand AS season, p_type AS league, TIMESTAMP '2024-01-01' AS ingestion_time, p_partkey AS team_id, p_name AS team_name, p_type AS team_short_name, p_brand AS team_tla, p_size::BIGINT AS position,
     p_size::BIGINT + 1 AS played_games, 1::BIGINT AS won, 2::BIGINT AS draw, 3::BIGINT AS lost, 5::BIGINT AS points, p_size::BIGINT AS goals_for, 4::BIGINT AS goals_against, p_size::BIGINT - 4 AS goal_difference, 'W,D' AS form FROM part
-    UNION ALL SELECT p_brand, p_type, TIMESTAMP '2024-01-01', CASE WHEN p_size > 25 THEN p_partkey + 1 END, p_type, NULL, NULL, NULL, 0, 0, 0, 0, 0, 0, 0, 0, NULL FROM part""")
+    UNION ALL SELECT p_brand, p_type, TIMESTAMP '2024-01-01', CASE WHEN p_size > 25 THEN p_partkey + 1 END, p_type, NULL, NULL, NULL, 0, 0, 0, 0, 0, 0, 0, 0, NULL FROM part"""
+
+
+@query("stage_standings", _SQL_STANDINGS)
 def stage_standings(spark, sf):
     return _comparable(staging.primary_standings(_standings_docs(spark, sf)))
 
 
+_STANDING_ORDER = ", ".join(f"{c} NULLS LAST" for c in silver.STANDING_COLUMNS)
+
+
+@query("silver_standings", f"""SELECT league, season, team_id, {", ".join(silver.STANDING_COLUMNS)}, ingestion_time FROM ({_SQL_STANDINGS})
+    QUALIFY row_number() OVER (PARTITION BY league, season, team_id ORDER BY ingestion_time DESC, {_STANDING_ORDER}) = 1""")
+def silver_standings(spark, sf):
+    return _comparable(silver.standings(staging.primary_standings(_standings_docs(spark, sf))))
+
+
+@query("silver_teams", f"SELECT DISTINCT team_id, team_name, team_short_name, team_tla, league FROM ({_SQL_STANDINGS}) WHERE team_id IS NOT NULL")
+def silver_teams(spark, sf):
+    return _comparable(silver.teams(staging.primary_standings(_standings_docs(spark, sf))))
+
+
 @query("stage_team_ids", "SELECT p_brand AS season, p_type AS league, TIMESTAMP '2024-01-01' AS ingestion_time, p_partkey AS team_id FROM part UNION ALL SELECT p_brand, p_type, TIMESTAMP '2024-01-01', p_partkey + 1 FROM part WHERE p_size > 25")
 def stage_team_ids(spark, sf):
     return _comparable(staging.primary_team_ids(_standings_docs(spark, sf)))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators.joins import with_one_row
 from touchline.operators.lineage import cut_lineage
+from touchline.operators.ranking import latest_per_key
 from touchline.plans import gold, quality, reads, silver
 from touchline.registry.base import (
     SQL_MATCHES, SQL_STAGED_PLAYERS, SQL_TEAMS, display_names, extra_info, matches, name_map, query, staged_primary,
@@ -132,7 +133,7 @@ def identity_union(spark, sf):
 
 @query("unique_name_index", f"WITH {_SQL_PLAYERS} SELECT * FROM p_unique")
 def unique_name_index(spark, sf):
-    newest = staged_primary(spark, sf).filter(F.col("ingestion_time") == F.lit("2024-02-01").cast("timestamp_ntz"))
+    newest = latest_per_key(staged_primary(spark, sf), ["player_id"], [F.col("ingestion_time").desc()])
     return silver.unique_name_index(newest, silver.normalize_name("player_name"), "player_id")
 
 
@@ -258,12 +259,12 @@ def dq_unmapped_players(spark, sf):
 
 @query("dq_name_collisions", f"""WITH {SQL_STAGED_PLAYERS},
     counts AS (SELECT {_sql_norm('player_name')} AS norm_name, count(DISTINCT player_id) AS fdo_player_count FROM p_players GROUP BY 1),
-    names AS (SELECT DISTINCT raw_player_name FROM t_stats)
+    names AS (SELECT DISTINCT raw_player_name FROM s_stats)
     SELECT n.raw_player_name, c.fdo_player_count FROM names n JOIN counts c ON c.norm_name = {_sql_norm('n.raw_player_name')}
     WHERE c.fdo_player_count > 1
       AND NOT EXISTS (SELECT 1 FROM name_map m WHERE m.source = 'understat' AND m.raw_player_name = n.raw_player_name)""")
 def dq_name_collisions(spark, sf):
-    return quality.name_collisions(staged_primary(spark, sf), staged_tertiary(spark, sf), name_map(spark, sf))
+    return quality.name_collisions(staged_primary(spark, sf), staged_secondary(spark, sf), name_map(spark, sf))
 
 
 @query("dq_source_agreement", f"WITH {_SQL_PTS} SELECT player_id, season FROM pts WHERE source_disagreement")

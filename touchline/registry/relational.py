@@ -118,10 +118,10 @@ def inner_join(spark, sf):
 
 
 @query("left_composite", """SELECT s.s_suppkey, s.s_nationkey, p.n FROM supplier s LEFT JOIN
-    (SELECT l_suppkey, l_returnflag, count(*) AS n FROM lineitem WHERE l_quantity > 49 GROUP BY 1, 2) p
+    (SELECT l_suppkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY 1, 2) p
     ON p.l_suppkey = s.s_suppkey AND p.l_returnflag = CASE WHEN s.s_acctbal > 0 THEN 'A' END""")
 def left_composite(spark, sf):
-    counts = table(spark, sf, "lineitem").filter("l_quantity > 49").groupBy("l_suppkey", "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    counts = table(spark, sf, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
     s = table(spark, sf, "supplier").withColumn("flag", F.when(F.col("s_acctbal") > 0, "A"))
     cond = (s["s_suppkey"] == counts["l_suppkey"]) & (s["flag"] == counts["l_returnflag"])
     return s.join(counts, cond, "left").select("s_suppkey", "s_nationkey", "n")
@@ -176,16 +176,16 @@ def cross_one_row(spark, sf):
     return joins.with_one_row(orders, last).select("o_orderkey", (F.col("o_orderdate") == F.col("last")).alias("is_last"))
 
 
-@query("anti_left_null", "SELECT c_custkey FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_totalprice > 400000 WHERE o_orderkey IS NULL")
+@query("anti_left_null", "SELECT c_custkey FROM customer LEFT JOIN orders ON o_custkey = c_custkey + 100 WHERE o_orderkey IS NULL")
 def anti_left_null(spark, sf):
-    large = table(spark, sf, "orders").filter("o_totalprice > 400000")
-    return joins.without(table(spark, sf, "customer"), large, {"c_custkey": "o_custkey"}).select("c_custkey")
+    shifted = table(spark, sf, "customer").withColumn("sought", F.col("c_custkey") + 100)
+    return joins.without(shifted, table(spark, sf, "orders"), {"sought": "o_custkey"}).select("c_custkey")
 
 
-@query("anti_not_exists", "SELECT p_partkey FROM part p WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_partkey = p.p_partkey AND l.l_quantity > 48)")
+@query("anti_not_exists", "SELECT p_partkey FROM part p WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_partkey = p.p_partkey + 100)")
 def anti_not_exists(spark, sf):
-    bulk = table(spark, sf, "lineitem").filter("l_quantity > 48")
-    return joins.without(table(spark, sf, "part"), bulk, {"p_partkey": "l_partkey"}).select("p_partkey")
+    shifted = table(spark, sf, "part").withColumn("sought", F.col("p_partkey") + 100)
+    return joins.without(shifted, table(spark, sf, "lineitem"), {"sought": "l_partkey"}).select("p_partkey")
 
 
 @query("not_in_null_aware", """SELECT 'without null' AS list, c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')
