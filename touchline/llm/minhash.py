@@ -4,14 +4,16 @@
    bands and a one-byte-per-minimum signature. Documents with equal sets form a class and go on as one node.
 2. Nodes that share a band key are candidates. First every node meets one centre, the smallest node of its buckets. The links
    that hold are made into components, which settles most of every large group with one comparison per node.
-3. What is left are pairs of one bucket in different components. Signatures are compared inside the tasks: once each node
-   offers its likeliest partner, then every remaining pair whose signatures allow the threshold. So no link between different
-   components is missed, and pairs inside a component are never listed.
-4. Every offered pair is confirmed on full sets, from texts fetched for the candidates only.
+3. What is left are pairs of one bucket in different components. Signatures are compared inside the tasks: first each node
+   offers its likeliest partner. Then, for every remaining pair whose signatures allow the threshold, the node of the smaller
+   component visits the other's home (the group of its centre): one row per visitor and home, however many pairs that covers.
+   There an index over the members' full sets gives the visitor's exact overlap with each. So no link between different
+   components is missed, and pairs are never listed.
+4. Every link is confirmed on full sets, from texts fetched for the candidates only.
 
 Signature filters lie five standard deviations below the threshold, and the bands miss a pair at the threshold with
 probability below 1e-6. Buckets larger than ``BLOCK`` are compared block against block in separate tasks; centres of many
-nodes are split by count. Texts are pre-filtered by a bitmap of fixed size before they are shuffled.
+nodes are split by count, homes by the size of their sets. Texts are pre-filtered by a bitmap of fixed size before they are shuffled.
 
 Words, shingles: ASCII capitals are lowered; a text with fewer words than a shingle has one shingle, all its words. Null texts
 and texts without words have no shingles, link with nothing and are kept. Rows without id take no part, have no component and
@@ -34,6 +36,8 @@ from touchline.llm.components import components
 
 #: Rows of a bucket that one task compares with each other, and members of one centre in one group.
 BLOCK = 2048
+#: Shingles that one part of a home holds in memory, about.
+HOME_SHINGLES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -186,32 +190,41 @@ def _reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def _offers(rows: DataFrame, settings: Settings, best_only: bool) -> DataFrame:
-    """Pairs of one bucket block in different components whose sizes and signatures allow the threshold; with ``best_only``
-    each node's likeliest partner. ``rows``: bucket, i, j, block, node, component, n_shingles, signature, sorted by bucket, i, j."""
-    least, percent, names = settings.least_likeness, settings.percent, ("key", "i", "j", "block", "node", "component", "n_shingles", "signature")
+def _offers(rows: DataFrame, settings: Settings, visits: bool) -> DataFrame:
+    """From rows sorted by bucket and block pair: pairs of different components whose sizes and signatures allow the threshold.
+
+    Either each node's likeliest partner as pairs ``a``, ``b``, or with ``visits`` for every such pair the node ``a`` of the
+    smaller component and the other's home ``b``.
+    """
+    least, percent = settings.least_likeness, settings.percent
+    names = ("key", "i", "j", "block", "node", "component", "n_shingles", "home", "members", "signature")
 
     def pairs_of(group: list[tuple], i: int, j: int) -> set[tuple[int, int]]:
-        block, node, component, size = (np.array([g[c] for g in group], dtype=np.int64) for c in range(4))
-        marks = np.frombuffer(b"".join(g[4] for g in group), dtype=np.uint8).reshape(len(group), -1)
+        block, node, component, size, home, members = (np.array([g[c] for g in group], dtype=np.int64) for c in range(6))
+        marks = np.frombuffer(b"".join(g[6] for g in group), dtype=np.uint8).reshape(len(group), -1)
         out: set[tuple[int, int]] = set()
-        left = np.flatnonzero(block == i)
         right = np.flatnonzero(block == j)
-        for at in range(0, len(left), 32):
-            rows = left[at : at + 32]
-            like = (marks[rows][:, None, :] == marks[right][None, :, :]).mean(axis=2)
-            a, b = size[rows][:, None], size[right][None, :]
-            fits = (component[rows][:, None] != component[right][None, :]) & (like >= least) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
-            if best_only:
-                like = np.where(fits, like, -1)
-                chosen = [(r, int(np.argmax(like[r]))) for r in range(len(rows)) if fits[r].any()]
+        for left in np.array_split(np.flatnonzero(block == i), len(group) // 32 + 1):
+            like = (marks[left][:, None, :] == marks[right][None, :, :]).mean(axis=2)
+            a, b = size[left][:, None], size[right][None, :]
+            fits = (component[left][:, None] != component[right][None, :]) & (like >= least) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+            if not fits.any():
+                continue
+            if visits:
+                r, c = np.nonzero(fits)
+                x, y = left[r], right[c]
+                first = (members[x] < members[y]) | ((members[x] == members[y]) & (node[x] > node[y]))
+                found = np.stack([np.where(first, node[x], node[y]), np.where(first, home[y], home[x])], axis=1)
             else:
-                chosen = zip(*np.nonzero(fits))
-            for r, c in chosen:
-                x, y = int(node[rows[r]]), int(node[right[c]])
-                out.add((min(x, y), max(x, y)))
+                r = np.flatnonzero(fits.any(axis=1))
+                x, y = node[left[r]], node[right[np.argmax(np.where(fits, like, -1)[r], axis=1)]]
+                found = np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)
+            out.update(map(tuple, np.unique(found, axis=0).tolist()))
         return out
 
+    def record(found: set[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in sorted(found)], pa.int64()) for k in (0, 1)], ["a", "b"])
+
     def run(batches):
         current, group = None, []
         for batch in batches:
@@ -222,18 +235,19 @@ def _offers(rows: DataFrame, settings: Settings, best_only: bool) -> DataFrame:
                         found |= pairs_of(group, *current[1:])
                     current, group = row[:3], []
                 group.append(row[3:])
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in sorted(found)], pa.int64()) for k in (0, 1)], ["a", "b"])
+            yield record(found)
         if len(group) > 1:
-            found = pairs_of(group, *current[1:])
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in sorted(found)], pa.int64()) for k in (0, 1)], ["a", "b"])
+            yield record(pairs_of(group, *current[1:]))
 
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def _across(shared: DataFrame, nodes: DataFrame, linked: DataFrame, settings: Settings, best_only: bool) -> DataFrame:
-    """Candidate pairs between different components of ``linked`` (edges a, b)."""
-    settled = components(linked)
-    rows = shared.join(settled, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+def _across(shared: DataFrame, nodes: DataFrame, settled: DataFrame, settings: Settings, visits: bool) -> DataFrame:
+    """Offers between different components of ``settled`` (``node``, ``component``) over the buckets ``shared``."""
+    counts = settled.groupBy("component").agg(F.count("*").alias("members"))
+    known = settled.join(counts, "component")
+    rows = shared.join(known, "node", "left").select(
+        "key", "node", "home", F.coalesce("component", "node").alias("component"), F.coalesce("members", F.lit(1)).alias("members"))
     open_keys = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low < high")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     still = rows.join(open_keys.select("key", blocks.alias("blocks")), "key").join(nodes.select("node", "n_shingles", "signature"), "node")
@@ -241,7 +255,62 @@ def _across(shared: DataFrame, nodes: DataFrame, linked: DataFrame, settings: Se
     still = still.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     still = still.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
     ordered = still.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-    return _offers(ordered.select("key", "i", "j", "block", "node", "component", "n_shingles", "signature"), settings, best_only)
+    return _offers(ordered.select("key", "i", "j", "block", "node", "component", "n_shingles", "home", "members", "signature"), settings, visits)
+
+
+class _Home:
+    """An index over the shingle sets of a home's members."""
+
+    def __init__(self, sets: list[np.ndarray], components_of: list[int]):
+        flat = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.argsort(flat, kind="stable")
+        self.flat, self.owner = flat[order], owner[order]
+        self.sizes, self.components = np.array([len(s) for s in sets]), np.array(components_of)
+
+    def links(self, own: np.ndarray, component: int, percent: int) -> list[int]:
+        """A linked member for each other component that has one."""
+        low, high = np.searchsorted(self.flat, own, "left"), np.searchsorted(self.flat, own, "right")
+        widths = high - low
+        at = np.repeat(low - np.concatenate([[0], np.cumsum(widths)[:-1]]), widths) + np.arange(widths.sum())
+        common = np.bincount(self.owner[at], minlength=len(self.sizes))
+        linked = (self.components != component) & (100 * common >= percent * (self.sizes + len(own) - common))
+        _, first = np.unique(self.components[linked], return_index=True)
+        return np.flatnonzero(linked)[first].tolist()
+
+
+def _visited(docs: DataFrame, nodes: DataFrame, homes: DataFrame, settled: DataFrame, visits: DataFrame, settings: Settings) -> DataFrame:
+    """Confirmed links of visitors ``a`` with members of the homes ``b`` that they visit."""
+    members = homes.join(visits.select(F.col("b").alias("home")).distinct(), "home").join(nodes.select("node", "n_shingles"), "node")
+    parts = members.groupBy("home").agg(F.ceil(F.sum("n_shingles") / HOME_SHINGLES).cast("int").alias("parts"))
+    here = members.join(parts, "home").select("home", F.pmod(F.hash("node"), F.col("parts")).alias("part"), F.lit(0).alias("role"), "node")
+    calls = visits.select(F.col("b").alias("home"), F.col("a").alias("node")).join(parts, "home")
+    calls = calls.select("home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("role"), "node")
+    roles = here.unionByName(calls).join(settled, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    roles = checkpointed(roles)
+    placed = possible_rows(docs, roles.select("node")).join(roles, F.col("doc_id") == F.col("node"))
+    ordered = placed.repartition("home", "part").sortWithinPartitions("home", "part", "role")
+    percent, shingle = settings.percent, settings.shingle
+
+    def run(batches):
+        shingler, group, index = Shingler(shingle), None, None
+        held: list[tuple[int, int, np.ndarray]] = []
+        for batch in batches:
+            linked: list[tuple[int, int]] = []
+            columns = [batch.column(c) for c in ("home", "part", "role", "node", "component", "text")]
+            for k in range(batch.num_rows):
+                home, part, role, node, component, text = (c[k].as_py() for c in columns)
+                if group != (home, part):
+                    group, index, held = (home, part), None, []
+                own = shingler.set_of(text)
+                if role == 0:
+                    held.append((node, component, own))
+                elif held:
+                    index = index or _Home([h[2] for h in held], [h[1] for h in held])
+                    linked += [(node, held[m][0]) for m in index.links(own, component, percent)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in linked], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return ordered.select("home", "part", "role", "node", "component", "text").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, settings: Settings = Settings(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -254,14 +323,15 @@ def near_duplicates(df: DataFrame, settings: Settings = Settings(), text: str =
     placed = nodes.select(F.explode("bands").alias("key"), "node")
     buckets = placed.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).filter("centre < last")
     shared = checkpointed(placed.join(buckets.select("key", "centre"), "key"))
-    first_pairs = shared.filter("node <> centre").groupBy(F.col("node").alias("b")).agg(F.min("centre").alias("a")).select("a", "b")
-    shared = shared.select("key", "node")
+    homes = checkpointed(shared.groupBy("node").agg(F.min("centre").alias("home")))
+    shared = checkpointed(shared.select("key", "node").join(homes, "node"))
+    first_pairs = homes.filter("node <> home").select(F.col("home").alias("a"), F.col("node").alias("b"))
     links = checkpointed(confirmed(docs, first_pairs, settings))
-    tested = first_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    for best_only in (True, False):
-        offered = checkpointed(_across(shared, nodes, links, settings, best_only).join(tested, ["a", "b"], "left_anti"))
-        links = checkpointed(links.unionByName(confirmed(docs, offered, settings)))
-        tested = tested.unionByName(offered)
+    offered = checkpointed(_across(shared, nodes, components(links), settings, visits=False).join(first_pairs, ["a", "b"], "left_anti"))
+    links = checkpointed(links.unionByName(confirmed(docs, offered, settings)))
+    settled = components(links)
+    visits = checkpointed(_across(shared, nodes, settled, settings, visits=True))
+    links = links.unionByName(_visited(docs, nodes, homes, settled, visits, settings))
     classes = nodes.select("digest", "node").join(components(links), "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     rows = made.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
