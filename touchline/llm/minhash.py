@@ -326,13 +326,14 @@ def near_duplicates(df: DataFrame, settings: Settings = Settings(), text: str =
     homes = checkpointed(shared.groupBy("node").agg(F.min("centre").alias("home")))
     shared = checkpointed(shared.select("key", "node").join(homes, "node"))
     first_pairs = homes.filter("node <> home").select(F.col("home").alias("a"), F.col("node").alias("b"))
-    links = checkpointed(confirmed(docs, first_pairs, settings))
-    offered = checkpointed(_across(shared, nodes, components(links), settings, visits=False).join(first_pairs, ["a", "b"], "left_anti"))
-    links = checkpointed(links.unionByName(confirmed(docs, offered, settings)))
-    settled = components(links)
+    # each step starts from the stars of the components so far, so that few rounds are left for it
+    stars = lambda settled: settled.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    settled = components(confirmed(docs, first_pairs, settings))
+    offered = checkpointed(_across(shared, nodes, settled, settings, visits=False).join(first_pairs, ["a", "b"], "left_anti"))
+    settled = components(stars(settled).unionByName(confirmed(docs, offered, settings)))
     visits = checkpointed(_across(shared, nodes, settled, settings, visits=True))
-    links = links.unionByName(_visited(docs, nodes, homes, settled, visits, settings))
-    classes = nodes.select("digest", "node").join(components(links), "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
+    settled = components(stars(settled).unionByName(_visited(docs, nodes, homes, settled, visits, settings)))
+    classes = nodes.select("digest", "node").join(settled, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     rows = made.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
