@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from touchline.llm.common import checkpointed, possible_rows
 
 #: Hashed dimensions, rated documents used for fitting (in expectation), shards, rounds of averaging, passes per round.
-DIMENSIONS, SAMPLE, SHARDS, ROUNDS, PASSES = 1 << 30, 30_000, 4, 12, 2
+DIMENSIONS, SAMPLE, SHARDS, ROUNDS, PASSES = 1 << 30, 10_000, 4, 12, 2
 #: Share of the rated documents that a feature must occur in (four at least), learning rate, pull towards zero.
 LEAST_SHARE, RATE, SHRINK = 0.005, 0.5, 0.1
 #: Lengths of word beginnings that are features of their own, for what inflected and compound words share.
@@ -141,12 +142,14 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, text: str = "text", do
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("grade").cast(pa.int32()), pa.array(slots, pa.list_(pa.int32()))], ["doc_id", "grade", "slots"])
 
     examples = joined.mapInArrow(featurize, "doc_id long, grade int, slots array<int>")
-    examples = checkpointed(examples.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SHARDS))))
+    # a shard stays in one partition of the checkpoint, so that the rounds below need no shuffle
+    examples = checkpointed(examples.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SHARDS))).repartition(SHARDS, "shard"))
     # features of few rated documents would only be learned by heart; how many are left depends on the sample alone
     least = max(4, LEAST_SHARE * examples.count())
     frequent = examples.select(F.explode("slots").alias("slot")).groupBy("slot").count().filter(F.col("count") >= least).select("slot")
     slots = np.array(sorted(r["slot"] for r in frequent.collect()), dtype=np.int64)
     model = Model(slots, np.zeros(len(slots)), thresholds)
+    examples_schema = pa.schema([("doc_id", pa.int64()), ("grade", pa.int32()), ("slots", pa.list_(pa.int32())), ("shard", pa.int64())])
     for _ in range(ROUNDS):
         current = model
 
@@ -161,7 +164,12 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, text: str = "text", do
             w, t, touched = _pass_over([examples_of[k] for k in order], current)
             return pa.table({"w": [w[touched].astype(np.float32).tobytes()], "at": [np.flatnonzero(touched).astype(np.int32).tobytes()], "t": [t.tobytes()]})
 
-        parts = examples.groupBy("shard").applyInArrow(shard, "w binary, at binary, t binary").collect()  # one row per shard
+        def shards(batches):
+            rows = pa.Table.from_batches([b.cast(examples_schema) for b in batches], examples_schema)
+            for k in sorted(set(rows.column("shard").to_pylist())):
+                yield from shard(rows.filter(pc.equal(rows.column("shard"), k))).to_batches()
+
+        parts = examples.mapInArrow(shards, "w binary, at binary, t binary").collect()  # one row per shard
         if not parts:
             break
         total, count, thresholds = np.zeros(len(slots)), np.zeros(len(slots)), np.zeros(grades - 1)
