@@ -339,3 +339,27 @@ def test_ordinal_held_out_accuracy(spark, docs, empty):
     assert ordinal.score(docs, model).count() == docs.count() and ordinal.score(empty, model).count() == 0
     untrained = ordinal.fit(docs, spark.createDataFrame([(1, None), (None, 1)], "doc_id long, grade int"), grades=3)
     assert ordinal.score(docs, untrained).count() == docs.count()
+
+
+def test_ordinal_learns_rare_words(spark):
+    """Every toxic word is in some 7 of the 2,000 rated documents, of which toxic ones are a tenth."""
+    rng = random.Random(8)
+    letters = "bcdfghjklmnpqrstvwxz"
+    vocabulary = [f"{a}{b}eliefs" for a in letters[:9] for b in letters[:9]]
+    vile = [f"{a}{b}orrible" for a in letters for b in letters][:31]
+    rows = []
+    for k in range(3000):
+        grade = 1 if k % 10 == 0 else rng.choice([0, 2, 2, 2])
+        ws = [rng.choice(vocabulary) for _ in range(rng.randrange(10, 60))] + [["junk"], [vile[k // 10 % 31]], []][grade]
+        rng.shuffle(ws)
+        rows.append((k, " ".join(ws), grade))
+    df = spark.createDataFrame(rows, "doc_id long, text string, grade int")
+    model = ordinal.fit(df, df.filter("doc_id % 3 > 0").select("doc_id", "grade"), grades=3)
+    held = ordinal.score(df.filter("doc_id % 3 = 0"), model).join(df.select("doc_id", "grade"), "doc_id").collect()
+    assert sum(r.tails[1] < 0.5 for r in held if r.grade == 1) >= 0.8 * sum(r.grade == 1 for r in held)
+    assert sum(r.tails[1] >= 0.5 for r in held if r.grade == 2) >= 0.95 * sum(r.grade == 2 for r in held)
+
+
+def test_ordinal_sample_by_grade():
+    assert ordinal.shares([900_000, 50_000, 50_000], 9_000) == [3_000 / 900_000, 3_000 / 50_000, 3_000 / 50_000]
+    assert ordinal.shares([1_000, 0, 10_000], 3_000) == [1.0, 1.0, 0.2] and ordinal.shares([5, 5], 100) == [1.0, 1.0]

@@ -4,9 +4,10 @@ One weight vector over hashed features gives a document's score s; ordered thres
 P(grade >= k) = 1 / (1 + exp(t_k - s)). So grades share what is learned, the expected grade is the sum of the tails, and any
 tail can be used for selection.
 
-The model is fitted on a bounded sample of the rated documents (``SAMPLE`` in expectation, by a hash of the id) in shards: each
-shard runs over its rows from the current weights and the changes are averaged over the shards that touched a feature. Model
-and sample do not grow with the input; scoring streams over every text without a shuffle.
+The model is fitted on a bounded sample of the rated documents (``SAMPLE`` in expectation, by a hash of the id), in equal parts
+of each grade as far as a grade has that many; a rating counts by how many it stands for, so the probabilities are those of
+the whole. Each shard runs over its rows from the current weights and the changes are averaged over the shards that touched a
+feature. Model and sample do not grow with the input; scoring streams over every text without a shuffle.
 
 Features are the distinct words (lower case, without outer punctuation) and their beginnings, the shapes of words by their share in the text, how
 varied the words are, and whether there are any. Null and empty texts have the last only. Rows repeated among the ratings
@@ -32,8 +33,8 @@ from touchline.llm.common import checkpointed, possible_rows
 
 #: Hashed dimensions, rated documents used for fitting (in expectation), shards, rounds of averaging, passes per round.
 DIMENSIONS, SAMPLE, SHARDS, ROUNDS, PASSES = 1 << 30, 10_000, 4, 12, 2
-#: Share of the rated documents that a feature must occur in (four at least), learning rate, pull towards zero.
-LEAST_SHARE, RATE, SHRINK = 0.005, 0.5, 0.1
+#: Sampled documents that a feature must occur in, learning rate (texts have hundreds of features that move together), pull towards zero.
+LEAST, RATE, SHRINK = 5, 0.05, 0.02
 #: Lengths of word beginnings that are features of their own, for what inflected and compound words share.
 STEMS = (4, 5, 6)
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -106,15 +107,25 @@ def _gradient(model_score: float, thresholds: np.ndarray, grade: int) -> tuple[f
     return by_high - by_low, by_threshold
 
 
-def _pass_over(rows: list[tuple[int, np.ndarray]], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights and thresholds after ``PASSES`` adaptive passes over the rows, and which weights were touched."""
+def shares(counts: list[int], sample: int = SAMPLE) -> list[float]:
+    """The share of each grade's ratings to take: equal numbers of each, what one grade lacks going to the others."""
+    taken, left = [0.0] * len(counts), float(sample)
+    for done, k in enumerate(sorted(range(len(counts)), key=lambda k: counts[k])):
+        taken[k] = min(counts[k], left / (len(counts) - done))
+        left -= taken[k]
+    return [t / c if c else 1.0 for t, c in zip(taken, counts)]
+
+
+def _pass_over(rows: list[tuple[int, np.ndarray]], model: Model, stands_for: list[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights and thresholds after ``PASSES`` adaptive passes over the rows, and which weights were touched; a row of grade k
+    counts ``stands_for[k]`` times."""
     w, t = model.weights.copy(), model.thresholds.copy()
     seen = np.full(len(w), 1e-2)
     t_seen = 1.0
     touched = np.zeros(len(w), dtype=bool)
     for _ in range(PASSES):
         for grade, slots in rows:
-            by_score, by_threshold = _gradient(float(w[slots].sum()), t, grade)
+            by_score, by_threshold = (stands_for[grade] * g for g in _gradient(float(w[slots].sum()), t, grade))
             seen[slots] += by_score * by_score
             step = RATE / np.sqrt(seen[slots])
             moved = w[slots] - step * by_score
@@ -129,9 +140,13 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, text: str = "text", do
     """A model from ``ratings`` (``doc_id``, ``grade`` from 0 to ``grades - 1``) of ``docs``."""
     thresholds = np.linspace(-1, 1, grades - 1) if grades > 2 else np.zeros(grades - 1)
     rated = ratings.select(F.col("doc_id").alias("node"), "grade").filter(F.col("node").isNotNull() & F.col("grade").between(0, grades - 1))
-    share = min(1.0, sample / max(1, rated.count()))
+    counted = {r["grade"]: r["count"] for r in rated.groupBy("grade").count().collect()}
+    counts = [counted.get(k, 0) for k in range(grades)]
+    share = shares(counts, sample)
+    mean = sum(c * s for c, s in zip(counts, share)) / max(1, sum(counts))
+    stands_for = [mean / s for s in share]
     hashed = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
-    chosen = rated.filter(hashed < int(share * (1 << 30)))
+    chosen = rated.filter(hashed < F.get(F.array(*[F.lit(int(s * (1 << 30))) for s in share]), F.col("grade").cast("int")))
     picked = possible_rows(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), chosen.select("node"))
     joined = picked.join(chosen, F.col("doc_id") == F.col("node")).select("doc_id", "grade", "text")
 
@@ -144,9 +159,8 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, text: str = "text", do
     examples = joined.mapInArrow(featurize, "doc_id long, grade int, slots array<int>")
     # a shard stays in one partition of the checkpoint, so that the rounds below need no shuffle
     examples = checkpointed(examples.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SHARDS))).repartition(SHARDS, "shard"))
-    # features of few rated documents would only be learned by heart; how many are left depends on the sample alone
-    least = max(4, LEAST_SHARE * examples.count())
-    frequent = examples.select(F.explode("slots").alias("slot")).groupBy("slot").count().filter(F.col("count") >= least).select("slot")
+    # features of few rated documents would only be learned by heart; how many are left depends on the sample alone, and a larger sample leaves more
+    frequent = examples.select(F.explode("slots").alias("slot")).groupBy("slot").count().filter(F.col("count") >= LEAST).select("slot")
     slots = np.array(sorted(r["slot"] for r in frequent.collect()), dtype=np.int64)
     model = Model(slots, np.zeros(len(slots)), thresholds)
     examples_schema = pa.schema([("doc_id", pa.int64()), ("grade", pa.int32()), ("slots", pa.list_(pa.int32())), ("shard", pa.int64())])
@@ -161,7 +175,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, text: str = "text", do
             known = current.slots[places] == flat if len(current.slots) else np.zeros(len(flat), dtype=bool)
             examples_of = [(int(given[k]), places[ends[k] : ends[k + 1]][known[ends[k] : ends[k + 1]]]) for k in np.lexsort((given, ids))]
             order = np.random.default_rng(1).permutation(len(examples_of))
-            w, t, touched = _pass_over([examples_of[k] for k in order], current)
+            w, t, touched = _pass_over([examples_of[k] for k in order], current, stands_for)
             return pa.table({"w": [w[touched].astype(np.float32).tobytes()], "at": [np.flatnonzero(touched).astype(np.int32).tobytes()], "t": [t.tobytes()]})
 
         def shards(batches):
