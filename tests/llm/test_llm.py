@@ -141,6 +141,37 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan(docs).count() == docs.count() and licenses.scan(empty).count() == 0
 
 
+def example(parsed, full):
+    """A text that a rule's pattern matches: the shortest one, or one with every optional part."""
+    out = ""
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            kind, value = next((str(k), v) for k, v in arg)
+            out += " " if (str(kind), value) == ("RANGE", (0, 0x2F)) else chr(value if kind == "LITERAL" else value[0])
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += example(arg[2], full) * (max(1, arg[0]) if full else arg[0])
+        elif op == "SUBPATTERN":
+            out += example(arg[3], full)
+        elif op == "BRANCH":
+            out += example(arg[1][-1 if full else 0], full)
+        else:
+            assert op == "ASSERT_NOT", op
+    return out
+
+
+def test_every_license_rule_fires(spark):
+    rules = licenses.rules()
+    texts = [(2 * rule[0] + full, example(re._parser.parse(rule[5]), bool(full))) for rule in rules for full in (0, 1)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    gates = {r.doc_id: r.k for r in df.select("doc_id", licenses.keywords(F.col("text")).alias("k")).collect()}
+    assert [t for k, t in texts if rules[k // 2][1] not in gates[k]] == []
+    labels = {r.doc_id: r.labels for r in licenses.scan(df).collect()}
+    assert [(rules[k // 2][4], t, labels[k]) for k, t in texts if rules[k // 2][4] not in labels[k]] == []
+
+
 # --- surrogates
 
 

@@ -115,11 +115,12 @@ def rules() -> list[tuple[int, str, int, float, str, str]]:
     """Number, keyword, priority, score, label and pattern of every rule."""
     found = []
     for label, keyword, name, spdx in NAMES:
-        forms = [(p, s, before + (spdx if "spdx" in before else name) + after) for p, s, before, after in FORMS]
+        # a rule's keyword must lie in every text that its own pattern matches: SPDX ids need not contain the name's
+        forms = [("spdx", p, s, before + spdx + after) if "spdx" in before else (keyword, p, s, before + name + after) for p, s, before, after in FORMS]
         if any(b in name or b in keyword for b in BARE):
-            forms.append((1, 0.6, name))
-        for priority, score, body in forms:
-            found.append((keyword, priority, score, label, f"(?i)(?<!{IN_WORD}){_loose(body)}(?!{IN_WORD})"))
+            forms.append((keyword, 1, 0.6, name))
+        for gate, priority, score, body in forms:
+            found.append((gate, priority, score, label, f"(?i)(?<!{IN_WORD}){_loose(body)}(?!{IN_WORD})"))
     return [(k, *rule) for k, rule in enumerate(found)]
 
 
