@@ -125,6 +125,17 @@ def test_secrets_base_and_links(spark, docs, empty):
     assert secrets.scan(docs).count() == docs.count() and secrets.scan(empty).count() == 0
 
 
+def test_secrets_link_endpoints_and_blocks(spark):
+    filler = "".join(f"option_{k} is {'z' * 20}\n" for k in range(15))
+    texts = [
+        "pwd=hunter22 then https://db.example/x", "https://db.example/x " + "y " * 150 + "passphrase: hunter22", "pwd=hunter22 alone",
+        f"\n\nintro\n\nlogin: alice\n{filler}auth_key: hunter22\n{filler}https://db.example/x\n", f"login: alice\n{filler}\n \n{filler}auth_key: hunter22\n",
+    ]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    kinds = [[s.split(":")[0] for s in spans.split(",") if s] for _, spans in by_id(secrets.scan(df), "doc_id", "spans")]
+    assert kinds == [["weak_secret", "endpoint"], [], [], ["weak_id", "weak_secret", "endpoint"], []]
+
+
 # --- licenses
 
 

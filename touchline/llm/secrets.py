@@ -2,15 +2,15 @@
 
 Single patterns find what is a secret by itself: assignments to a password-like name, access key ids and long hex runs. A
 credential often comes in parts, an access identifier, a secret and an endpoint, each too weak to report alone. Weak parts
-are linked inside a scope (parts of one document at most ``SCOPE`` code points apart) and reported only where complementary
-parts co-occur there.
+are linked inside a scope (parts of one document at most ``SCOPE`` code points apart, or in one block of several lines without
+a blank line between them) and reported only where complementary parts co-occur there.
 
 Positions come from splitting the text at the pattern: the lengths of pieces and matches add up to offsets. The linking is an
 interval join on (document, offset) done as one ordered pass per document: the nearest part of each kind before and after a
 weak part decides, so the work is n log n in the parts however densely they lie. Texts are scanned in place and never
 shuffled; only documents with weak parts of two kinds send their parts through a shuffle.
 
-Null and empty texts have no spans. Repeated rows get equal results. Rows are told apart by id and found parts.
+Null and empty texts have no spans. Repeated rows get equal results. Rows are told apart by id and text.
 """
 
 from __future__ import annotations
@@ -19,10 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from touchline.llm.common import matches
+from touchline.llm.common import let, matches
 
-#: Code points between two linked parts at most.
+#: Code points between two linked parts at most, unless they lie in one block; what parts blocks.
 SCOPE = 200
+BLANK = r"\n[ \t\r\n]*\n"
 
 
 def either_case(pattern: str) -> str:
@@ -46,9 +47,9 @@ WEAK = {
     "endpoint": "[a-z][a-z0-9+]{2,12}://[A-Za-z0-9_.-]+[A-Za-z0-9_./:-]*",
 }
 KINDS = [*BASE, *WEAK]
-#: What each kind contributes to a credential, and which other role must lie in scope for a weak part to be reported.
+#: What each kind contributes to a credential, and of which other roles one must lie in scope for a weak part to be reported.
 ROLES = {"assign": "secret", "access": "identifier", "hex": "secret", "weak_id": "identifier", "weak_secret": "secret", "endpoint": "endpoint"}
-NEEDS = {"weak_id": "secret", "weak_secret": "identifier", "endpoint": "secret"}
+NEEDS = {"weak_id": ["secret"], "weak_secret": ["identifier", "endpoint"], "endpoint": ["secret"]}
 _SPAN = "array<struct<start:int,rank:int,stop:int>>"
 
 
@@ -77,28 +78,47 @@ def _all(kinds: list[str]) -> Column:
     return F.array_sort(F.concat(*[F.col(f"found_{k}") for k in kinds]))
 
 
-def links(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Weak parts with their complement in scope: ``doc_id``, ``content`` (hash of all parts), ``linked`` (array of spans)."""
+def _blocks(text: Column) -> Column:
+    """Blocks of several lines without a blank line, as spans of rank -1."""
+    def build(pieces: Column) -> Column:
+        block = lambda blanks, p, i: F.struct(
+            F.coalesce(F.get(blanks, i - 1)["stop"], F.lit(0)).alias("start"), F.lit(-1).alias("rank"),
+            F.when(p.contains("\n"), F.coalesce(F.get(blanks, i)["start"], F.length(text))).alias("stop"))
+        return let(matches(text, BLANK), lambda blanks: F.transform(pieces, lambda p, i: block(blanks, p, i)))
+
+    return F.filter(let(F.split(text, BLANK, -1), build), lambda b: b["stop"].isNotNull())
+
+
+def links(found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Weak parts with their complement in scope: ``doc_id``, ``content`` (hash of the text), ``linked`` (array of spans)."""
     secret = [k for k in KINDS if ROLES[k] == "secret"]
     others = [k for k in KINDS if ROLES[k] != "secret"]
     some = lambda kinds: sum((F.size(f"found_{k}") for k in kinds), F.lit(0)) > 0
     candidates = found.filter(some(secret) & some(others) & some(list(WEAK)))
-    keyed = candidates.select(F.col(f"`{doc_id}`").alias("doc_id"), _all(KINDS).alias("parts")).withColumn("content", F.xxhash64("parts"))
+    body = F.col(f"`{text}`")
+    keyed = candidates.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("content"), F.concat(_all(KINDS), _blocks(body)).alias("parts"))
     rows = keyed.dropDuplicates(["doc_id", "content"]).select("doc_id", "content", F.explode("parts").alias("p")).select("doc_id", "content", "p.*")
     role = F.get(F.array(*[F.lit(ROLES[k]) for k in KINDS]), F.col("rank"))
     rows = rows.withColumn("role", role)
     by = W.partitionBy("doc_id", "content")
     before = by.orderBy("start", "rank").rowsBetween(W.unboundedPreceding, -1)
     after = by.orderBy(F.desc("start"), F.desc("rank")).rowsBetween(W.unboundedPreceding, -1)
-    near = rows
-    for r in ("identifier", "secret"):
+    # the block that a part lies in: the last one that starts no later, if it ends no earlier
+    so_far = by.orderBy("start", "rank").rowsBetween(W.unboundedPreceding, 0)
+    opened, closed = (F.max(F.when(F.col("rank") == -1, F.col(c))).over(so_far) for c in ("start", "stop"))
+    near = rows.withColumn("block_start", opened).withColumn("block_stop", closed)
+    for r in ("identifier", "secret", "endpoint"):
         of_role = F.col("role") == r
         near = near.withColumn(f"gap_before_{r}", F.col("start") - F.max(F.when(of_role, F.col("stop"))).over(before))
         near = near.withColumn(f"gap_after_{r}", F.min(F.when(of_role, F.col("start"))).over(after) - F.col("stop"))
-    in_scope = lambda r: (F.coalesce(F.col(f"gap_before_{r}") <= SCOPE, F.lit(False))) | F.coalesce(F.col(f"gap_after_{r}") <= SCOPE, F.lit(False))
+    # a gap that does not reach the border of the block stays inside it
+    inside = F.col("block_stop") >= F.col("stop")
+    reach = {"before": F.when(inside, F.col("start") - F.col("block_start") - 1), "after": F.when(inside, F.col("block_stop") - F.col("stop") - 1)}
+    in_reach = lambda r, side: F.coalesce(F.col(f"gap_{side}_{r}") <= F.greatest(F.lit(SCOPE), reach[side]), F.lit(False))
     reported = F.lit(False)
-    for kind, need in NEEDS.items():
-        reported = reported | ((F.col("rank") == KINDS.index(kind)) & in_scope(need))
+    for kind, needs in NEEDS.items():
+        for r in needs:
+            reported = reported | ((F.col("rank") == KINDS.index(kind)) & (in_reach(r, "before") | in_reach(r, "after")))
     return near.filter(reported).groupBy("doc_id", "content").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "stop"))).alias("linked"))
 
 
@@ -111,13 +131,13 @@ def _text_of(spans: Column) -> Column:
 def scan(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per row: ``doc_id``, counts per base kind, ``base`` and ``spans`` as ``kind:start:end`` by start and kind, comma-joined."""
     docs = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    found = parts(docs)
-    linked = links(parts(docs.filter(_has_sign(F.col("text"))))).select(F.col("doc_id").alias("id_of"), F.col("content").alias("content_of"), "linked")
+    found = parts(docs, keep=["doc_id", "text"])
+    linked = links(parts(docs.filter(_has_sign(F.col("text"))), keep=["doc_id", "text"])).select(F.col("doc_id").alias("id_of"), F.col("content").alias("content_of"), "linked")
     results = found.select(
         "doc_id",
         *[F.size(f"found_{k}").cast("long").alias(f"n_{k}") for k in BASE],
         _all(list(BASE)).alias("base"),
-        F.xxhash64(_all(KINDS)).alias("content"),
+        F.xxhash64("text").alias("content"),
     )
     joined = results.join(linked, F.col("doc_id").eqNullSafe(F.col("id_of")) & (F.col("content") == F.col("content_of")), "left")
     every = F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(_SPAN))))
