@@ -250,8 +250,8 @@ def player_season(spark, sf):
 
 
 @query("dq_unmapped_players", f"""WITH {_SQL_PTS}
-    SELECT DISTINCT 'understat' AS source, raw_player_name FROM s_resolved WHERE player_id IS NULL
-    UNION SELECT DISTINCT 'statbunker', raw_player_name FROM t_resolved WHERE player_id IS NULL""")
+    SELECT DISTINCT via AS source, raw_player_name FROM facts
+    WHERE fact NOT IN (SELECT fact FROM votes WHERE player_id IS NOT NULL)""")
 def dq_unmapped_players(spark, sf):
     people, sec, ter, names = _sources(spark, sf)
     return quality.unmapped_players(sec, ter, people, names)
