@@ -8,6 +8,8 @@ import pytest
 from touchline.llm import queries
 
 SF = "/root/testdata/sf0.001"
+#: Queries that do not return one row per document or page.
+OWN_ROWS = {"op12_best_positions", "op13_filter_audit"}
 
 
 @pytest.fixture(scope="module")
@@ -23,8 +25,9 @@ def test_query(spark, con, name):
     got = queries.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
     rows = sorted(map(str, (tuple(r[c] for c in columns) for r in got.collect())))
-    source = "pages" if name.startswith("op1_") else "documents"
-    assert len(rows) == con.execute(f"SELECT count(*) FROM {source}").fetchall()[0][0]
+    if name not in OWN_ROWS:
+        source = "pages" if name in ("op1_html_text", "op11_warc") else "documents"
+        assert len(rows) == con.execute(f"SELECT count(*) FROM {source}").fetchall()[0][0]
     if name in queries.ORACLES:
         want = con.execute(queries.ORACLES[name]).fetchdf()
         assert rows == sorted(map(str, want[columns].astype(object).itertuples(index=False, name=None)))

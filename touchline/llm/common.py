@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,11 +41,11 @@ def packed(df: DataFrame) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder, so that lost executors cost no recomputation.
 
-    The folder is the session's ``spark.checkpoint.dir``; a temporary one is taken only where none is set, as in tests.
+    The folder is the session's ``spark.checkpoint.dir``; a temporary one is taken only on a single machine where none is set.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession, "checkpoints"))
     return df.checkpoint(eager=True)
 
 
@@ -86,6 +87,33 @@ def matches(text: Column, pattern: str) -> Column:
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(none))
 
 
+def may_hold(df: DataFrame, value: Column, known: DataFrame, known_value: Column, name: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """``df`` with the boolean ``name``: false only where ``value`` (a 64-bit hash) is surely not among ``known_value`` of ``known``.
+
+    A bitmap of ``bits`` bits is broadcast, whatever the number of rows; the more there are, the more rows stay possible.
+    """
+    slot = F.pmod(known_value, F.lit(bits))
+    placed = known.select(F.bitmap_bucket_number(slot).alias("_bucket"), F.bitmap_bit_position(slot).alias("_bit"))
+    maps = placed.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
+    at = F.pmod(value, F.lit(bits))
+    bit = F.bitmap_bit_position(at)
+    octet = F.conv(F.hex(F.substring("_bitmap", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.call_function("shiftright", octet, (bit % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    joined = df.join(F.broadcast(maps), F.bitmap_bucket_number(at) == F.col("_bucket"), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(held, F.lit(False)).alias(name))
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder; a temporary folder only on a single machine without one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="shared-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def possible_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` without most rows whose ``doc_id`` is not among ``ids.node``: a bitmap of fixed size is broadcast."""
     slot = F.pmod(F.xxhash64("node"), F.lit(BITMAP_BITS))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, html_text, licenses, minhash, mixing, ordinal, pii, quality_rules, secrets, simhash
-from touchline.llm.common import checkpointed, table
+from touchline.llm import bpe, html_text, licenses, minhash, mixing, ordinal, pii, quality_rules, secrets, simhash, warc
+from touchline.llm.common import checkpointed, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -199,3 +199,22 @@ def op7_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = ordinal.fit(docs, rated, grades=3)
     scored = ordinal.score(docs, model)
     return scored.select("doc_id", "expected_grade", F.get("tails", F.lit(1)).alias("p_clean"), (F.get("tails", F.lit(1)) >= 0.5).alias("kept"))
+
+
+@query("""
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p LEFT JOIN f ON f.payload_digest = p.payload_digest AND payload_bytes >= 100
+""")
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a record, found through the capture index and read back from its archive."""
+    pages, folder = table(spark, sf_dir, "pages"), shared_folder(spark, "warc")
+    index = warc.build_index(warc.write(pages, folder), folder)
+    records = warc.fetch(warc.find(index, pages, page_id="page_id"), index)
+    number = lambda c: F.col(c).cast("long").alias("page_id" if c == "id" else c)
+    return records.select(number("id"), "payload_bytes", "payload_digest", "record_type", number("refers_to"))
