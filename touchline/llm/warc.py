@@ -131,7 +131,7 @@ def record(mark: str, url: str | None, digest: str, size: int, first: str | None
     return packer.compress(_header(lines) + block + b"\r\n\r\n") + packer.flush()
 
 
-def _write_archives(folder: str, date: str):
+def _write_archives(folder: str, date: str, archive_bytes: int):
     schema = pa.schema([(c, pa.string()) for c in ("key", "mark", "url", "kind", "file")] + [("offset", pa.int64()), ("length", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +150,7 @@ def _write_archives(folder: str, date: str):
                 sink.write(member)
                 done.append((url_key(url), mark, url, "response" if first is None else "revisit", name, at, len(member)))
                 at += len(member)
-                if at >= ARCHIVE_BYTES:
+                if at >= archive_bytes:
                     sink.close()
                     sink = None
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), schema.types)] if done else [pa.array([], t) for t in schema.types], schema=schema)
@@ -162,7 +162,7 @@ def _write_archives(folder: str, date: str):
 
 def write(
     pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html",
-    least_bytes: int = LEAST_BYTES, date: str | None = None,
+    least_bytes: int = LEAST_BYTES, date: str | None = None, archive_bytes: int = ARCHIVE_BYTES,
 ) -> DataFrame:
     """Write every row as a record below ``folder``/archives and return the table of captures, kept in ``folder``/captures."""
     spark, folder = pages.sparkSession, folder.rstrip("/")
@@ -179,7 +179,7 @@ def write(
     again = repeats.select(F.col("digest").alias("d"), F.col("id").alias("i"), _mark(F.col("first")).alias("first"))
     doubtful = tried.filter("maybe").join(again, (F.col("digest") == F.col("d")) & F.col("id").eqNullSafe(F.col("i")), "left")
     rows = [df.select(_mark(F.col("id")).alias("mark"), "url", F.lower(F.hex("digest")).alias("digest"), "n", "first", F.when(F.col("first").isNull(), F.col("html")).alias("html")) for df in (sure, doubtful)]
-    rows[0].unionByName(rows[1]).mapInArrow(_write_archives(f"{folder}/archives", date), CAPTURES).write.parquet(f"{folder}/captures")
+    rows[0].unionByName(rows[1]).mapInArrow(_write_archives(f"{folder}/archives", date, archive_bytes), CAPTURES).write.parquet(f"{folder}/captures")
     return spark.read.schema(CAPTURES).parquet(f"{folder}/captures")
 
 
@@ -315,7 +315,8 @@ def find(index: Index, wanted: DataFrame, url: str = "url", page_id: str | None
     mark = F.lit(None).cast("string") if page_id is None else _mark(F.col(f"`{page_id}`"))
     probes = wanted.select(F.col(f"`{url}`").cast("string").alias("url"), mark.alias("mark")).distinct()
     routed = probes.mapInArrow(_route(index), "shard int, key string, mark string, url string")
-    near = routed.repartition("shard").sortWithinPartitions("shard", "key", "mark")
+    # a given number of partitions: rows are small, what they read is not, so they are not to be packed by their size
+    near = routed.repartition(max(1, len(index.shards)), "shard").sortWithinPartitions("shard", "key", "mark")
     return near.mapInArrow(_search(index), CAPTURES)
 
 
@@ -374,5 +375,6 @@ def _fetch(archives: str, with_payload: bool):
 def fetch(captures: DataFrame, index: Index, with_payload: bool = False) -> DataFrame:
     """The records at ``captures`` (file, offset, length), each read back from its archive; a revisit stores no payload."""
     near = captures.select("file", "offset", "length").withColumn("stretch", F.floor(F.col("offset") / STRETCH))
-    placed = near.repartition("file", "stretch").sortWithinPartitions("file", "offset")
+    tasks = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = near.repartition(tasks, "file", "stretch").sortWithinPartitions("file", "offset")
     return placed.mapInArrow(_fetch(index.archives, with_payload), RECORDS + (", payload binary" if with_payload else ""))
