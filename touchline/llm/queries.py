@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, html_text, licenses, minhash, mixing, ordinal, pii, quality_rules, secrets, simhash, warc
+from touchline.llm import audit, bpe, html_text, lexical, licenses, minhash, mixing, ordinal, pii, quality_rules, secrets, simhash, warc
 from touchline.llm.common import checkpointed, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,3 +218,69 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.fetch(warc.find(index, pages, page_id="page_id"), index)
     number = lambda c: F.col(c).cast("long").alias("page_id" if c == "id" else c)
     return records.select(number("id"), "payload_bytes", "payload_digest", "record_type", number("refers_to"))
+
+
+@query("""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents
+), z AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM d WHERE len(ws) > 0
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), t AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) SEMI JOIN q USING (term) GROUP BY r, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, z GROUP BY term, n_docs
+), s AS (
+  SELECT item_id, d.r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(ws) * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN t USING (term) JOIN d ON d.r = t.r, z GROUP BY item_id, d.r, doc_id
+), k AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+""")
+def op12_best_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10).drop("scored")
+
+
+@query("""
+WITH f AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    coalesce(min(doc_id) OVER (PARTITION BY coalesce(text, '')) < doc_id, false) AS repeated
+  FROM documents
+), m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad,
+    CAST(len(ws) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(ws)) < 65 * len(ws) AS INT)
+      + 4 * CAST(100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) AS INT)
+      + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(repeated AS INT) AS mask
+  FROM f LEFT JOIN (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels GROUP BY doc_id) l ON l.doc_id = f.doc_id
+), c AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (bad) AS n_bad FROM m GROUP BY part, mask
+), x AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS b
+), o AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM x a, x b, x c, x d, x e WHERE a.b + b.b + c.b + d.b + e.b = 31 AND len(list_distinct([a.b, b.b, c.b, d.b, e.b])) = 5
+), s AS (
+  SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS earlier FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), r AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (mask & (earlier | bit) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & earlier <> 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+    coalesce(sum(n_good) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS good_lost,
+    coalesce(sum(n_bad) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+""")
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every order of the five filters keeps, removes and loses, step by step and source by source."""
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
