@@ -7,8 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from touchline.functions.text import gram_similarity, trigrams, unaccent
-from touchline.operators import joins, matching, mentions, ranking, sliced
-from touchline.operators.throttle import throttle
+from touchline.operators import joins, matching, mentions, ranking, scans
+from touchline.operators.throttle import settle_slices, throttle
 
 DAY = dt.datetime(2024, 1, 1)
 
@@ -22,28 +22,45 @@ def events(spark, n=600, seed=3):
     return spark.createDataFrame(data, "k string, ts timestamp_ntz, id bigint, x bigint")
 
 
-def test_running_totals_equal_a_window(spark, rows):
-    df = events(spark)
+@pytest.mark.parametrize("places", [1, 12])
+def test_running_totals_equal_a_window(spark, rows, places):
+    df = events(spark).cache()
     order = [F.col("ts").asc(), F.col("id").asc()]
-    got = sliced.running_totals(df, ["k"], order, F.to_date("ts"), {"total": "x"}, "nth")
+    got = scans.running_totals(df, ["k"], [F.col("ts"), F.col("id")], {"total": "x"}, "nth", places=places)
     w = Window.partitionBy("k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumns({"total": F.sum("x").over(w), "nth": F.count(F.lit(1)).over(w)})
     cols = ["k", "ts", "id", "x", "total", "nth"]
     assert rows(got, *cols) == rows(want, *cols)
 
 
+def test_heavy_keys_are_cut_at_tie_breaks(spark, rows):
+    data = [("zero", n, 0) for n in range(3000)] + [(f"k{n % 300}", n, n) for n in range(3000)]
+    df = spark.createDataFrame(data, "k string, id int, points int")
+    order = [*scans.falling("points"), F.col("id")]
+    cuts = scans.key_places(df, ["k"], F.struct(*order), places=16).collect()
+    assert [r["_k0"] for r in cuts] == ["zero"] and 4 <= len(cuts[0]["_cuts"]) <= 12
+    parts = scans._with_parts(df, ["k"], F.struct(*order), scans.key_places(df, ["k"], F.struct(*order), places=16))
+    assert parts.filter("k = 'zero'").groupBy("_part").count().agg(F.max("count")).first()[0] < 1500
+    got = scans.rank_within(df, ["k"], order, places=16)
+    want = df.withColumn("position", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("points"), "id")).cast("bigint"))
+    assert rows(got, "k", "id", "position") == rows(want, "k", "id", "position")
+
+
 def test_rank_within_equals_row_number(spark, rows):
-    df = events(spark).fillna(0, ["x"])
-    order = [F.col("x").desc(), F.col("id").asc()]
-    got = sliced.rank_within(df, ["k"], order, F.col("x"))
+    df = events(spark)
+    got = scans.rank_within(df, ["k"], [*scans.falling("x"), F.col("id")], places=9)
+    order = [F.col("x").desc_nulls_last(), F.col("id").asc()]
     want = df.withColumn("position", F.row_number().over(Window.partitionBy("k").orderBy(*order)).cast("bigint"))
     assert rows(got, "id", "position") == rows(want, "id", "position")
+    empty = scans.rank_within(df.limit(0), ["k"], [F.col("id")])
+    assert empty.columns == [*df.columns, "position"] and empty.count() == 0
 
 
-def test_as_of_join_against_brute_force(spark, rows):
+@pytest.mark.parametrize("places", [1, 15])
+def test_as_of_join_against_brute_force(spark, rows, places):
     facts = events(spark, 200, 1).withColumnsRenamed({"ts": "at", "id": "fact"}).drop("x")
     probes = events(spark, 300, 2).drop("x")
-    got = sliced.as_of_join(probes, facts, ["k"], "ts", "at", F.to_date, ["fact"])
+    got = scans.as_of_join(probes, facts, ["k"], "ts", "at", ["fact"], places=places)
     known = [tuple(r) for r in facts.select("k", "at", "fact").collect()]
     want = []
     for k, ts, i in probes.select("k", "ts", "id").collect():
@@ -52,6 +69,13 @@ def test_as_of_join_against_brute_force(spark, rows):
     assert rows(got, "id", "fact", "at") == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
+def test_as_of_join_carries_over_parts_without_facts(spark, rows):
+    facts = spark.createDataFrame([("a", DAY, 1)], "k string, at timestamp_ntz, fact int")
+    probes = spark.createDataFrame([("a", DAY + dt.timedelta(days=n - 3), n) for n in range(2000)], "k string, ts timestamp_ntz, id int")
+    got = scans.as_of_join(probes, facts, ["k"], "ts", "at", places=20)
+    assert rows(got, "id", "fact") == sorted([(n, 1 if n >= 3 else None) for n in range(2000)], key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
 def test_valid_at_join(spark, rows):
     history = spark.createDataFrame(
         [("a", DAY, DAY + dt.timedelta(days=2), "v1"), ("a", DAY + dt.timedelta(days=2), None, "v2"), ("b", DAY, DAY + dt.timedelta(days=1), "w")],
@@ -59,10 +83,22 @@ def test_valid_at_join(spark, rows):
     )
     at = [("a", DAY), ("a", DAY + dt.timedelta(days=2)), ("a", DAY - dt.timedelta(days=1)), ("b", DAY + dt.timedelta(days=1)), ("c", DAY)]
     probes = spark.createDataFrame(at, "k string, t timestamp_ntz")
-    got = sliced.valid_at_join(probes, history, ["k"], "t", "valid_from", "valid_to", F.to_date)
+    got = scans.valid_at_join(probes, history, ["k"], "t", "valid_from", "valid_to")
     assert rows(got, "k", "v") == [("a", "v1"), ("a", "v2")]
 
 
+def test_valid_at_join_returns_every_overlapping_version(spark, rows):
+    rng = random.Random(7)
+    moment = lambda: DAY + dt.timedelta(microseconds=rng.choice([rng.randrange(50), rng.randrange(10**12)]))
+    versions = [(rng.choice("ab"), (f := moment()), rng.choice([None, f, f + dt.timedelta(microseconds=1), moment(), dt.datetime(1901, 1, 1)]), n) for n in range(300)]
+    versions += [("a", dt.datetime(1900, 1, 1), dt.datetime(2999, 1, 1), 900), ("a", None, None, 901), (None, DAY, None, 902)]
+    at = [(rng.choice(["a", "b", None]), rng.choice([moment(), None, dt.datetime(1950, 1, 1)]), n) for n in range(200)]
+    history = spark.createDataFrame(versions, "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, v int")
+    got = scans.valid_at_join(spark.createDataFrame(at, "k string, t timestamp_ntz, id int"), history, ["k"], "t", "valid_from", "valid_to")
+    want = [(i, v) for k, t, i in at for vk, f, to, v in versions if k and k == vk and t and f and f <= t and (to is None or t < to)]
+    assert sorted((r.id, r.v) for r in got.collect()) == sorted(want) and len(want) > 1000
+
+
 def test_topk_limits_before_the_shuffle(spark):
     top = ranking.topk_per_key(events(spark), ["k"], [F.col("ts").desc(), F.col("id").desc()], 2)
     plan = top._jdf.queryExecution().executedPlan().toString()
@@ -182,3 +218,24 @@ def test_throttle_tenth_and_eleventh(spark):
     df = spark.createDataFrame([("ip", DAY + dt.timedelta(seconds=t), i) for i, t in enumerate(times)], "k string, ts timestamp_ntz, id bigint")
     got = [r["accepted"] for r in throttle(df, "k", "ts", "id", 60, 10).orderBy("id").collect()]
     assert got == [True] * 10 + [False, True]
+
+
+def test_a_key_that_never_pauses_settles_in_logarithmic_rounds(spark):
+    """Each accepted time decides the next one, so no slice forgets what the first event was."""
+    window, slices = 1000, 64
+    rng, t, data = random.Random(2), 0, []
+    while t < window * slices:
+        data.append(("hot", t // window, t, 1))
+        t += rng.randrange(380, 420)
+    data += [("calm", n, n * window, 1) for n in (0, 1, 5, 6)]
+    grains = spark.createDataFrame(data, "k string, slice bigint, t bigint, n bigint")
+    pasts, rounds = settle_slices(grains, window, 1)
+    assert rounds <= 8
+    log, want = [], {}
+    for k, s, at, _ in data[:-4]:
+        log = [x for x in log if at - x <= window]
+        want.setdefault(s, list(log))
+        if not log:
+            log.append(at)
+    got = {r.slice: list(r.past or []) for r in pasts.filter("k = 'hot'").collect()}
+    assert got == want

@@ -11,7 +11,7 @@ from tools.check import TABLES, canonical
 from touchline import registry
 
 SF = "/root/testdata/sf0.001"
-PYTHON_STEPS = {"throttle_events", "page_league_rows", "page_scorer_rows", "page_expected_goals", "page_tables"}
+PYTHON_STEPS = {"throttle_events", "raw_tree_scan", "page_league_rows", "page_scorer_rows", "page_expected_goals", "page_tables"}
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables absent")
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import re
 import time
 
 import pytest
@@ -11,7 +12,7 @@ from touchline.plans.history import open_row_violations
 from touchline.sources import bronze, files, pages, seeds, tables
 from touchline.streaming import history as stream_history
 from touchline.streaming import ingest as stream_ingest
-from touchline.streaming.throttle import throttle_stream
+from touchline.streaming.throttle import SETTINGS, throttle_stream
 
 
 def counts(df):
@@ -41,7 +42,7 @@ def test_ingest_is_idempotent_and_tolerant(spark, tmp_path, rows):
     tracked3, bad3, third = bronze.ingest(spark, root, target, tracked)
     assert counts(third) == (1, 1, 3)
     assert rows(bad3, "rel_path", "reason") == [
-        (f"{day}/PL_2025_1_2.json", "invalid json"), (f"{day}/PL_2025_1_5.json", "invalid json"), (f"{day}/PL_latest_1_3.json", "bad season"),
+        (f"{day}/PL_2025_1_2.json", "invalid json"), (f"{day}/PL_2025_1_5.json", "invalid json"), (f"{day}/PL_latest_1_3.json", "bad season"), ("stray/short.json", "short path"),
     ]
     assert rows(bronze.read_bronze(spark, target).filter("league is null"), "season") == [(None,)]
     assert tracked3.count() == 11  # quarantined files are tried again next time
@@ -144,15 +145,16 @@ def test_stream_ingest_restarts_without_duplicates(spark, tmp_path):
 
 
 def test_stream_history_skips_replayed_batches(spark, tmp_path, rows):
-    table = tables.VersionedTable(spark, str(tmp_path / "hist"))
+    ddl = "k string, v int, loaded timestamp_ntz"
+    table = stream_history.history_table(spark, str(tmp_path / "hist"), spark.createDataFrame([], ddl), ["k"], ["v"])
     src, state = str(tmp_path / "in"), str(tmp_path / "state")
     stamps = iter(["2025-01-01", "2025-01-02"])
 
     def push(data):
-        spark.createDataFrame(data, "k string, v int, loaded timestamp_ntz").write.mode("append").parquet(src)
-        stream = spark.readStream.schema("k string, v int, loaded timestamp_ntz").parquet(src)
+        spark.createDataFrame(data, ddl).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(ddl).parquet(src)
         stream_history.start_history(
-            stream, table, ["k"], ["v"], "loaded", state, lambda: F.lit(next(stamps)).cast("timestamp")
+            stream, table, ["k"], ["v"], "loaded", state, lambda batch: F.lit(next(stamps)).cast("timestamp")
         ).awaitTermination()
 
     push([("a", 1, dt.datetime(2025, 1, 1)), ("a", 2, dt.datetime(2025, 1, 1, 1)), ("b", 1, dt.datetime(2025, 1, 1))])
@@ -160,19 +162,82 @@ def test_stream_history_skips_replayed_batches(spark, tmp_path, rows):
     got = rows(table.read(), "k", "v", "valid_from", "valid_to")
     d1, d2 = dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 2)
     assert got == [("a", 2, d1, d2), ("a", 3, d2, None), ("b", 1, d1, None)]
+    assert rows(table.read(1), "k", "v", "valid_to") == [("a", 2, None), ("b", 1, None)]
     batch = spark.createDataFrame([("a", 9)], "k string, v int")
-    assert stream_history.apply_batch(table, batch, 1, ["k"], ["v"], F.current_timestamp()) is False
+    done = table.snapshots().filter("version = 2").first().operation.rsplit("-batch-", 1)
+    assert stream_history.apply_batch(table, batch, done[0], int(done[1]), ["k"], ["v"], F.current_timestamp()) is False
     assert open_row_violations(table.read(), ["k"]).count() == 0
+    # batch 1 of another stream is another batch, and a stream without a name is refused
+    assert stream_history.apply_batch(table, batch, "other", 1, ["k"], ["v"], F.lit("2025-01-03").cast("timestamp")) is True
+    assert rows(table.open_rows(), "k", "v") == [("a", 9), ("b", 1)]
+    with pytest.raises(ValueError):
+        stream_history.apply_batch(table, batch, "", 1, ["k"], ["v"], F.current_timestamp())
+
+
+def test_history_commits_read_and_write_open_rows_only(spark, tmp_path):
+    table = tables.HistoryTable(spark, str(tmp_path / "hist"), "k int, v int, valid_from timestamp, valid_to timestamp")
+    now = lambda n: F.lit(f"2025-01-{n:02d}").cast("timestamp")
+    for n in range(1, 5):
+        batch = spark.range(20).select(F.col("id").cast("int").alias("k"), F.lit(n).alias("v"))
+        assert stream_history.apply_batch(table, batch, "s", n, ["k"], ["v"], now(n))
+    sizes = [(r.summary["closed-records"], r.summary["open-records"]) for r in table.snapshots().orderBy("version").collect()]
+    assert sizes == [("0", "20"), *[("20", "20")] * 3]
+    assert table.read().count() == 80 and table.read(2).count() == 40
+    plan = table.open_rows()._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*_open", plan) and re.search(r"PartitionFilters: \[[^\]]*_commit", plan)
+
+
+def test_two_writers_cannot_take_one_version(spark, tmp_path, monkeypatch):
+    path, ddl = str(tmp_path / "hist"), "k int, v int, valid_from timestamp, valid_to timestamp"
+    mine, other = tables.HistoryTable(spark, path, ddl), tables.HistoryTable(spark, path, ddl)
+    row = lambda v: spark.createDataFrame([(1, v)], "k int, v int")
+    at = lambda n: F.lit(f"2025-01-0{n}").cast("timestamp")
+    stream_history.apply_batch(mine, row(1), "a", 0, ["k"], ["v"], at(1))
+    commit, raced = mine.commit, []
+
+    def late(base, versions, operation):
+        if not raced:
+            raced.append(stream_history.apply_batch(other, row(2), "b", 0, ["k"], ["v"], at(2)))
+        return commit(base, versions, operation)
+
+    monkeypatch.setattr(mine, "commit", late)
+    assert stream_history.apply_batch(mine, row(3), "a", 1, ["k"], ["v"], at(3)) is True
+    got = sorted((r.v, r.valid_to is None) for r in mine.read().collect())
+    assert got == [(1, False), (2, False), (3, True)] and mine.latest_version() == 3
+    versions = tables.VersionedTable(spark, str(tmp_path / "t"))
+    versions.commit(row(1))
+    with pytest.raises(tables.VersionTaken):
+        versions.claim(1, "replace", "x", {})
+
+
+def judge_stream(spark, tmp_path, parts, window, limit, pause=0):
+    """Verdicts by id after every part went through one trigger."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    src, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    ddl = "k string, ts timestamp_ntz, id bigint"
+    for data in parts:
+        spark.createDataFrame(data, ddl).coalesce(1).write.mode("append").parquet(src)
+        judged = throttle_stream(spark.readStream.schema(ddl).parquet(src), "k", "ts", "id", window, limit)
+        judged.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out).awaitTermination()
+        time.sleep(pause)
+    return {r["id"]: r["accepted"] for r in spark.read.parquet(out).collect()}, state
+
+
+BASE = dt.datetime(2025, 1, 1)
 
 
 def test_stream_throttle_keeps_state_between_triggers(spark, tmp_path):
-    src, out = str(tmp_path / "in"), str(tmp_path / "out")
-    ddl = "k string, ts timestamp_ntz, id bigint"
-    base = dt.datetime(2025, 1, 1)
-    for part in ([0, 10, 20], [30, 61, 90]):
-        data = [("a", base + dt.timedelta(seconds=t), t) for t in part]
-        spark.createDataFrame(data, ddl).coalesce(1).write.mode("append").parquet(src)
-        judged = throttle_stream(spark.readStream.schema(ddl).parquet(src), "k", "ts", "id", 60, 2)
-        judged.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(out).awaitTermination()
-    got = {r["id"]: r["accepted"] for r in spark.read.parquet(out).collect()}
-    assert got == {0: True, 10: True, 20: False, 30: False, 61: True, 90: True}
+    parts = [[("a", BASE + dt.timedelta(seconds=t), t) for t in part] for part in ([20, 0, 10], [30, 61, 90])]
+    parts[0] += [(None, BASE, 1000), ("a", None, 1001)]
+    parts[1] += [(None, BASE + dt.timedelta(seconds=1), 1002), (None, BASE + dt.timedelta(seconds=2), 1003)]
+    got, _ = judge_stream(spark, tmp_path, parts, 60, 2)
+    assert got == {0: True, 10: True, 20: False, 30: False, 61: True, 90: True, 1000: True, 1001: False, 1002: True, 1003: False}
+
+
+def test_stream_throttle_state_is_empty_after_the_window(spark, tmp_path):
+    parts = [[(f"k{n}", BASE, n) for n in range(20)], [("last", BASE, 100)]]
+    got, state = judge_stream(spark, tmp_path, parts, 2, 1, pause=4)
+    assert all(got.values()) and len(got) == 21
+    held = spark.read.format("statestore").option("stateVarName", "log").load(state)
+    assert [r.key[0] for r in held.select("key").collect()] in (["=last"], [])

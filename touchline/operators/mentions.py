@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.operators.joins import with_one_row
 from touchline.operators.ranking import latest_per_key
 
 _SPAN = "struct<width:int,start:int,stop:int,alias:string,entity:bigint>"
@@ -15,38 +16,36 @@ def _pieces(c: Column) -> Column:
     return F.filter(F.split(c, r"(?U)\b"), lambda p: p != "")
 
 
+def phrase_trie(aliases: DataFrame, alias: str, entity: str) -> tuple[DataFrame, DataFrame]:
+    """The dictionary as two levels of a trie: per ``first`` piece the phrase lengths (in pieces) below it, and the phrases."""
+    pieces = _pieces(F.lower(alias))
+    listed = aliases.select(
+        F.col(alias).alias("alias"), F.col(entity).cast("bigint").alias("entity"), F.lower(alias).alias("phrase"), pieces.alias("_p")
+    ).filter(F.size("_p") > 0)
+    phrases = listed.select("alias", "entity", "phrase", F.get("_p", F.lit(0)).alias("first"), F.size("_p").alias("len"))
+    branches = phrases.groupBy("first").agg(F.sort_array(F.collect_set("len")).alias("lens"))
+    return branches, phrases
+
+
 def find_spans(texts: DataFrame, key: str, text: str, aliases: DataFrame, alias: str, entity: str) -> DataFrame:
     """Whole-word occurrences of every alias, positions counted in pieces.
 
-    Runs of pieces of the lengths that occur among the aliases are joined to the alias phrases:
-    an equi join that streams through the texts once when the dictionary is small.
+    Every position of a text meets the dictionary's first level by its piece; only where some phrase begins with that piece are
+    runs formed, one for each phrase length below it, and matched with the phrases. So rows grow with places where a phrase may
+    begin, not with positions times lengths. A position carries the pieces that the longest phrase can take.
     """
-    listed = aliases.select(
-        F.col(alias).alias("alias"), F.col(entity).cast("bigint").alias("entity"), F.lower(alias).alias("phrase")
-    ).withColumn("len", F.size(_pieces(F.col("phrase"))))
-    lengths = listed.agg(F.collect_set("len").alias("lens"))  # one row, one entry per phrase length
+    branches, phrases = phrase_trie(aliases, alias, entity)
+    longest = phrases.agg(F.coalesce(F.max("len"), F.lit(0)).alias("most"))
     cut = texts.select(F.col(key).alias("key"), _pieces(F.lower(text)).alias("p"))
-    runs = (
-        cut.crossJoin(F.broadcast(lengths))
-        .select("key", "p", F.explode("lens").alias("len"))
-        .filter(F.size("p") >= F.col("len"))
-        .select(
-            "key",
-            "len",
-            F.size("p").alias("total"),
-            F.posexplode(
-                F.transform(
-                    F.sequence(F.lit(1), F.size("p") - F.col("len") + 1),
-                    lambda i: F.array_join(F.slice("p", i, F.col("len")), ""),
-                )
-            ).alias("start", "phrase"),
-        )
-    )
+    ahead = F.transform("p", lambda x, i: F.struct(i.alias("start"), x.alias("first"), F.slice("p", i + 1, F.greatest("most", F.lit(1))).alias("ahead")))
+    places = with_one_row(cut, longest).select("key", F.size("p").alias("total"), F.explode(ahead).alias("at")).select("key", "total", "at.*")
+    begun = places.join(branches, "first").select("key", "total", "start", "first", "ahead", F.explode("lens").alias("len")).filter(F.size("ahead") >= F.col("len"))
+    runs = begun.select("key", "total", "start", "first", "len", F.array_join(F.slice("ahead", F.lit(1), F.col("len")), "").alias("phrase"))
     stop = F.col("start") + F.col("len")
     word_edges = (
         ((F.col("start") > 0) | F.col("phrase").rlike(r"(?U)^\w")) & ((stop < F.col("total")) | F.col("phrase").rlike(r"(?U)\w$"))
     )
-    return runs.join(listed, ["phrase", "len"]).filter(word_edges).select(
+    return runs.join(phrases, ["first", "phrase", "len"]).filter(word_edges).select(
         "key", F.length("phrase").alias("width"), "start", stop.alias("stop"), "alias", "entity"
     )
 

@@ -11,7 +11,7 @@ from touchline.functions.numbers import league_points
 from touchline.functions.text import lower_trim
 from touchline.operators.joins import join_role, unpivot_sides
 from touchline.operators.ranking import latest_per_key, topk_per_key
-from touchline.operators.sliced import running_totals
+from touchline.operators.scans import running_totals
 from touchline.plans.silver import STANDING_COLUMNS
 
 TEAM_SEASON = ["league", "season", "team_id"]
@@ -150,12 +150,11 @@ def team_form(matches: DataFrame, teams: DataFrame, last: int = FORM_LENGTH) ->
     )
 
 
-def standings_by_matchday(match_results_df: DataFrame) -> DataFrame:
-    """Cumulative record of each team after each finished match.
+MEASURES = ["won", "draw", "lost", "points", "goals_for", "goals_against"]
 
-    NULL scores count as played with no win, draw or loss. A team with too many matches for one task
-    is scanned in hour slices. Pass a materialised table: its team sizes are measured first.
-    """
+
+def _played_sides(finished: DataFrame) -> DataFrame:
+    """Two rows per match with what it adds to a team's record; NULL scores add no win, draw or loss."""
 
     def outcome(own: Column, other: Column) -> dict[str, Column]:
         return {
@@ -164,24 +163,36 @@ def standings_by_matchday(match_results_df: DataFrame) -> DataFrame:
             "lost": F.coalesce((own < other).cast("int"), F.lit(0)),
         }
 
-    finished = match_results_df.filter(F.col("status") == FINISHED)
     sides = _sides(finished, ["league", "season", "source_match_id", "utc_date"], outcome)
-    sides = sides.withColumn("points", league_points("won", "draw"))
-    measures = ["won", "draw", "lost", "points", "goals_for", "goals_against"]
+    return sides.withColumn("points", league_points("won", "draw"))
+
+
+def standings_by_matchday(match_results_df: DataFrame) -> DataFrame:
+    """Cumulative record of each team after each finished match.
+
+    NULL scores count as played with no win, draw or loss. Pass a materialised table: the scan also samples it.
+    """
     totals = running_totals(
-        sides.withColumnsRenamed({m: f"_{m}" for m in measures}),
+        _played_sides(match_results_df.filter(F.col("status") == FINISHED)).withColumnsRenamed({m: f"_{m}" for m in MEASURES}),
         TEAM_SEASON,
-        [F.col("utc_date").asc_nulls_last(), F.col("source_match_id").asc()],
-        slice_by=F.coalesce(F.date_trunc("hour", "utc_date"), F.lit("9999-12-31").cast("timestamp")),
-        sums={m: f"_{m}" for m in measures},
+        [F.col("utc_date").isNull(), F.col("utc_date"), F.col("source_match_id")],
+        sums={m: f"_{m}" for m in MEASURES},
         row_number="played_games",
     )
     return totals.select(
-        *TEAM_SEASON, "source_match_id", "utc_date", "played_games", *measures,
+        *TEAM_SEASON, "source_match_id", "utc_date", "played_games", *MEASURES,
         (F.col("goals_for") - F.col("goals_against")).alias("goal_difference"),
     )
 
 
+def records_until(match_results_df: DataFrame, moment: Column) -> DataFrame:
+    """The record of each team at ``moment``: what the last row of ``standings_by_matchday`` up to it says, as one aggregate."""
+    finished = match_results_df.filter((F.col("status") == FINISHED) & (F.col("utc_date") <= moment))
+    summed = _played_sides(finished).groupBy(*TEAM_SEASON).agg(
+        F.count(F.lit(1)).alias("played_games"), *[F.sum(m).alias(m) for m in MEASURES])
+    return summed.withColumn("goal_difference", F.col("goals_for") - F.col("goals_against"))
+
+
 def standings_history(snapshot: DataFrame, teams: DataFrame) -> DataFrame:
     """G8."""
     names = teams.select("team_id", "team_name", "team_short_name", "team_tla")

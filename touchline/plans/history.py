@@ -21,22 +21,18 @@ def empty_history(current: DataFrame, keys: Sequence[str], check_cols: Sequence[
     )
 
 
-def scd2_snapshot(
-    history: DataFrame, current: DataFrame, keys: Sequence[str], check_cols: Sequence[str], run_ts: Column
+def scd2_changes(
+    opened: DataFrame, current: DataFrame, keys: Sequence[str], check_cols: Sequence[str], run_ts: Column
 ) -> DataFrame:
-    """H1: the history after one run at ``run_ts``.
+    """What one run at ``run_ts`` makes of the open versions: those it closes, and all that are open afterwards.
 
     A changed row closes its open version and opens a new one, a new key opens one, everything
-    else stays, including keys that vanished. One full outer join of open versions with current rows;
-    closed versions pass through unshuffled. Write the result as a new table version.
+    else stays, including keys that vanished. One full outer join of open versions with current rows.
     """
-    closed = history.filter("valid_to is not null")
-    opened = history.filter("valid_to is null").select(
-        F.struct(*keys, *check_cols, "valid_from").alias("old")
-    )
+    old = opened.select(F.struct(*keys, *check_cols, "valid_from").alias("old"))
     fresh = current.select(F.struct(*keys, *check_cols).alias("new"))
     same_key = reduce(lambda a, b: a & b, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys])
-    pairs = opened.join(fresh, same_key, "full_outer")
+    pairs = old.join(fresh, same_key, "full_outer")
     differs = reduce(lambda a, b: a | b, [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in check_cols])
     changed = F.col("old").isNotNull() & F.col("new").isNotNull() & differs
     cols = [*keys, *check_cols]
@@ -56,8 +52,19 @@ def scd2_snapshot(
             F.lit(None).cast("timestamp").alias("valid_to"),
         ),
     )
-    versions = pairs.select(F.explode(F.array_compact(F.array(kept, started))).alias("v")).select("v.*")
-    return closed.select(*cols, "valid_from", "valid_to").unionByName(versions)
+    return pairs.select(F.explode(F.array_compact(F.array(kept, started))).alias("v")).select("v.*")
+
+
+def scd2_snapshot(
+    history: DataFrame, current: DataFrame, keys: Sequence[str], check_cols: Sequence[str], run_ts: Column
+) -> DataFrame:
+    """H1: the history after one run at ``run_ts``; closed versions pass through unshuffled.
+
+    ``touchline.streaming.history`` keeps a history on storage without rewriting the closed part.
+    """
+    versions = scd2_changes(history.filter("valid_to is null"), current, keys, check_cols, run_ts)
+    closed = history.filter("valid_to is not null").select(*keys, *check_cols, "valid_from", "valid_to")
+    return closed.unionByName(versions)
 
 
 def standings_snapshot(history: DataFrame, standings: DataFrame, run_ts: Column) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +12,10 @@ from touchline.constants import (
 )
 from touchline.functions.text import form_letters
 from touchline.operators.joins import optional_filters, with_one_row
+from touchline.operators.lineage import cut_lineage
 from touchline.operators.ranking import latest_per_key, top_n
-from touchline.operators.sliced import as_of_join, rank_within
+from touchline.operators.scans import as_of_join, falling, rank_within
+from touchline.plans.gold import records_until
 
 TEAM_COLUMNS = ["team_id", "team_name", "team_short_name", "team_tla"]
 RECORD = ["played_games", "won", "draw", "lost", "points", "goals_for", "goals_against", "goal_difference"]
@@ -19,7 +23,7 @@ RECORD = ["played_games", "won", "draw", "lost", "points", "goals_for", "goals_a
 
 def _table_order() -> list[Column]:
     """League table order; teams level on all three figures are put in id order."""
-    return [F.desc("points"), F.desc("goal_difference"), F.desc("goals_for"), F.asc("team_id")]
+    return [*falling("points", "goal_difference", "goals_for"), F.col("team_id")]
 
 
 def list_leagues(standings: DataFrame) -> DataFrame:
@@ -29,10 +33,10 @@ def list_leagues(standings: DataFrame) -> DataFrame:
 
 
 def resolve_season(standings: DataFrame, league: str, season: str | None = None) -> DataFrame:
-    """R2: one row, the given season or the league's latest (NULL for an unknown league)."""
+    """R2: the given season or the league's latest; no row for an unknown league."""
     if season:
         return standings.sparkSession.range(1).select(F.lit(season).alias("season"))
-    return standings.filter(F.col("league") == league).agg(F.max("season").alias("season"))
+    return standings.filter(F.col("league") == league).agg(F.max("season").alias("season")).filter("season is not null")
 
 
 def in_latest_season(df: DataFrame, season: str | None, among: DataFrame) -> DataFrame:
@@ -66,7 +70,7 @@ def league_matches(results: DataFrame, standings: DataFrame, league: str, season
 def _ranked_tables(teams: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Zero-filled records ranked inside each table."""
     rows = teams.join(stats, [*keys, "team_id"], "left").fillna(0, subset=RECORD)
-    return rank_within(rows, keys, _table_order(), slice_by=F.col("points"))
+    return rank_within(cut_lineage(rows), keys, _table_order())
 
 
 def standings_as_of(
@@ -86,18 +90,26 @@ def standings_as_of(
     return _ranked_tables(teams, stats, keys).select(*keys, *TEAM_COLUMNS, "position", *RECORD)
 
 
+def standings_from_results(
+    standings: DataFrame, results: DataFrame, moment: Column, league: str | None = None, season: str | None = None
+) -> DataFrame:
+    """R5 for one moment straight from the matches: only those up to it are read, and summed before they are shuffled."""
+    keys = ["league", "season"]
+    given = {"league": league, "season": season}
+    teams = optional_filters(standings, **given).select(*keys, *TEAM_COLUMNS).distinct()
+    stats = records_until(optional_filters(results, **given), moment)
+    return _ranked_tables(teams, stats, keys).select(*keys, *TEAM_COLUMNS, "position", *RECORD)
+
+
 def standings_at_dates(standings: DataFrame, by_matchday: DataFrame, dates: DataFrame) -> DataFrame:
     """R5 for many moments in one job: ``dates`` lists ``(league, season, as_of)``."""
     keys = ["league", "season"]
     teams = standings.select(*keys, *TEAM_COLUMNS).distinct()
     probes = dates.join(teams, keys)
     facts = by_matchday.select(*keys, "team_id", "utc_date", "source_match_id", *RECORD)
-    found = as_of_join(
-        probes, facts, [*keys, "team_id"], "as_of", "utc_date", lambda t: F.date_trunc("hour", t), ["source_match_id"]
-    )
+    found = as_of_join(probes, facts, [*keys, "team_id"], "as_of", "utc_date", ["source_match_id"])
     tables = [*keys, "as_of"]
-    filled = found.fillna(0, subset=RECORD)
-    ranked = rank_within(filled, tables, _table_order(), slice_by=F.col("points"))
+    ranked = rank_within(cut_lineage(found.fillna(0, subset=RECORD)), tables, _table_order())
     return ranked.select(*tables, *TEAM_COLUMNS, "position", *RECORD)
 
 
@@ -173,6 +185,19 @@ def squad_groups(squad: DataFrame) -> DataFrame:
     )
 
 
+def squad_by_group(squad: DataFrame, keys: Sequence[str] = ("team_id",)) -> DataFrame:
+    """One row per position group of each squad, in the fixed order of the groups, its players nested in squad order.
+
+    A group holds a squad's players of one position, so its array stays short.
+    """
+    player = [c for c in squad.columns if c not in keys]
+    order = [F.col("shirt_number").isNull(), F.col("shirt_number"), F.col("player_name"), F.col("player_id")]
+    placed = F.struct(*[c.alias(f"o{k}") for k, c in enumerate(order)], F.struct(*player).alias("player"))
+    grouped = squad_groups(squad).groupBy(*keys, "group_order", "position_group").agg(F.array_sort(F.collect_list(placed)).alias("placed"))
+    players = F.transform("placed", lambda p: p["player"]).alias("players")
+    return grouped.select(*keys, "group_order", "position_group", players).orderBy(*keys, "group_order")
+
+
 def form_badges(form: DataFrame, column: str = "form") -> DataFrame:
     """R16."""
     return form.withColumn("letters", form_letters(column, FORM_LETTERS))

@@ -48,9 +48,8 @@ def _head_per_name(entities: DataFrame) -> DataFrame:
 def substring_tier(queries: DataFrame, entities: DataFrame) -> DataFrame:
     """Names containing the query (accents and case folded), first by name."""
     asked = _asked(queries)
-    texts = substring_join(asked, "_text", entities, "name")
     # the first names of a query decide before copies of a name are joined back
-    head = topk_per_key(texts, ["_text"], [F.col("name").asc()], SEARCH_LIMIT).drop("rank")
+    head = substring_join(asked, "_text", entities, "name", first=SEARCH_LIMIT)
     found = asked.join(head, "_text").join(_head_per_name(entities), "name")
     best = topk_per_key(found, ["query"], [F.col("name").asc(), F.col("id").asc()], SEARCH_LIMIT)
     return _hits(best, 2)

@@ -244,6 +244,21 @@ def team_squad(spark, sf):
     return grouped.withColumns({c: F.col(c).cast("bigint") for c in ("age", "group_order")})
 
 
+@query("squad_by_group", f"""WITH {_SQL_MARTS},
+    squad AS (SELECT f.team_id, f.season, p.player_id, p.player_name, p.shirt_number, {_SQL_GROUP} AS position_group, CAST({_SQL_ORDER} AS BIGINT) AS group_order
+              FROM performance f JOIN profile p ON p.player_id = f.player_id)
+    SELECT team_id, season, group_order, position_group, count(*) AS n_players, string_agg(player_id, ',' ORDER BY shirt_number NULLS LAST, player_name, player_id) AS player_ids
+    FROM squad GROUP BY ALL""")
+def squad_by_group(spark, sf):
+    """Every squad of every season by position group."""
+    performance, profile = _marts(spark, sf)
+    people = profile.select("player_id", "player_name", "position", "shirt_number")
+    squads = reads.squad_by_group(performance.select("player_id", "team_id", "season").join(people, "player_id"), ["team_id", "season"])
+    ids = F.array_join(F.transform("players", lambda p: p["player_id"].cast("string")), ",")
+    return squads.select("team_id", "season", F.col("group_order").cast("bigint").alias("group_order"), "position_group",
+                         F.size("players").cast("bigint").alias("n_players"), ids.alias("player_ids"))
+
+
 @query("player_season", f"WITH {_SQL_MARTS} SELECT * FROM performance WHERE player_id = 10 AND season = '1997-1998'")
 def player_season(spark, sf):
     return _plain(reads.player_season(_performance(spark, sf), 10, "1997-1998"))

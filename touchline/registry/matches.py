@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from touchline.functions.dates import season_of_year
 from touchline.operators.lineage import cut_lineage
 from touchline.operators.ranking import latest_per_key
-from touchline.operators.sliced import rank_within
+from touchline.operators.scans import falling, rank_within
 from touchline.plans import gold, reads, silver
 from touchline.registry.base import (
     SQL_BY_MATCHDAY, SQL_MATCHES, SQL_SIDES, SQL_SNAPSHOTS, SQL_TEAM_SEASONS, SQL_TEAMS, match_snapshots, match_table, matches, query,
@@ -107,7 +107,7 @@ def _sql_as_of(moment: str, dates: str = "") -> str:
 @query("standings_as_of", _sql_as_of(f"DATE '{AS_OF}'"))
 def standings_as_of(spark, sf):
     played, moment = match_table(spark, sf), F.lit(AS_OF).cast("date")
-    return reads.standings_as_of(team_seasons(spark, sf, played), gold.standings_by_matchday(played), moment)
+    return reads.standings_from_results(team_seasons(spark, sf, played), played, moment)
 
 
 _SQL_DATES = """,
@@ -185,11 +185,8 @@ def _standings(spark, sf):
         [F.col("utc_date").desc(), F.col("source_match_id").desc()],
     ).drop("source_match_id", "utc_date")
     newest = cut_lineage(newest)
-    order = [
-        F.col("points").desc(), F.col("goal_difference").desc_nulls_last(), F.col("goals_for").desc_nulls_last(),
-        F.col("team_id").asc(),
-    ]
-    placed = rank_within(newest, ["league", "season"], order, slice_by=F.col("points"))
+    order = [*falling("points", "goal_difference", "goals_for"), F.col("team_id")]
+    placed = rank_within(newest, ["league", "season"], order)
     placed = placed.withColumn("form", F.lit(None).cast("string"))
     xg = table(spark, sf, "lineitem").select(
         F.col("l_returnflag").alias("league"), season_of_year(F.year("l_shipdate")).alias("season"),
@@ -220,9 +217,13 @@ def league_teams(spark, sf):
     return reads.league_teams(team_seasons(spark, sf), "R")
 
 
-@query("resolve_season", f"WITH {SQL_MATCHES} SELECT max(season) AS season FROM matches WHERE league = 'A'")
+@query("resolve_season", f"""WITH {SQL_MATCHES} SELECT w.league, max(season) AS season FROM (SELECT unnest(['A', 'no such league']) AS league) w
+    JOIN matches m ON m.league = w.league GROUP BY 1""")
 def resolve_season(spark, sf):
-    return reads.resolve_season(matches(spark, sf), "A")
+    """The latest season of a league, and of one that does not exist: that one has no row."""
+    played = matches(spark, sf)
+    found = [reads.resolve_season(played, league).select(F.lit(league).alias("league"), "season") for league in ("A", "no such league")]
+    return found[0].unionByName(found[1])
 
 
 @query("league_matches", f"WITH {SQL_RESULTS} SELECT * FROM results WHERE league = 'A' AND season = (SELECT max(season) FROM results WHERE league = 'A')")

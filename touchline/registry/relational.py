@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators import joins
 from touchline.operators.ranking import latest_per_key, pick_by_priority, top_n, topk_per_key, unique_name_index
-from touchline.operators.sliced import as_of_join, rank_within, running_totals, valid_at_join
+from touchline.operators.scans import as_of_join, falling, rank_within, running_totals, valid_at_join
 from touchline.plans.reads import position_rank
 from touchline.registry.base import query, table
 
@@ -48,8 +48,7 @@ def priority_pick(spark, sf):
 @query("rank_within", "SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS position FROM orders")
 def global_rank(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    order = [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()]
-    ranked = rank_within(orders, ["o_orderstatus"], order, slice_by=F.floor(F.col("o_totalprice") / 1000))
+    ranked = rank_within(orders, ["o_orderstatus"], [*falling("o_totalprice"), F.col("o_orderkey")])
     return ranked.select("o_orderkey", "o_orderstatus", "position")
 
 
@@ -58,8 +57,8 @@ def global_rank(spark, sf):
     FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def running(spark, sf):
     orders = table(spark, sf, "orders").withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("bigint"))
-    order = [F.col("o_orderdate").asc(), F.col("o_orderkey").asc()]
-    out = running_totals(orders, ["o_custkey"], order, _MONTH(F.col("o_orderdate")), {"spent_cents": "cents"}, "n_orders")
+    order = [F.col("o_orderdate"), F.col("o_orderkey")]
+    out = running_totals(orders, ["o_custkey"], order, {"spent_cents": "cents"}, "n_orders")
     return out.select("o_custkey", "o_orderkey", "n_orders", "spent_cents")
 
 
@@ -212,25 +211,24 @@ def latest_as_of(spark, sf):
         "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_extendedprice", "l_suppkey", "l_shipdate"
     )
     facts = table(spark, sf, "orders").select(F.col("o_custkey").alias("l_suppkey"), "o_orderdate", "o_orderkey")
-    return as_of_join(probes, facts, ["l_suppkey"], "l_shipdate", "o_orderdate", _MONTH, ["o_orderkey"])
+    return as_of_join(probes, facts, ["l_suppkey"], "l_shipdate", "o_orderdate", ["o_orderkey"])
 
 
-@query("interval_join", """WITH v AS (SELECT o_custkey, o_orderdate AS valid_from, o_orderkey,
-      lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS valid_to
-      FROM (SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey FROM orders GROUP BY 1, 2))
+@query("interval_join", """WITH v AS (SELECT o_custkey, o_orderkey, o_orderdate AS valid_from,
+      CASE WHEN o_orderkey % 50 > 0 THEN o_orderdate + to_days(CAST(o_orderkey % 900 AS INTEGER)) END AS valid_to FROM orders)
     SELECT l_orderkey, l_linenumber, l_extendedprice, l_shipdate, o_orderkey, valid_from, valid_to FROM lineitem JOIN v
     ON o_custkey = l_suppkey AND valid_from <= l_shipdate AND (valid_to IS NULL OR valid_to > l_shipdate)""")
 def interval_join(spark, sf):
-    starts = table(spark, sf, "orders").groupBy("o_custkey", "o_orderdate").agg(F.max("o_orderkey").alias("o_orderkey"))
-    by_date = Window.partitionBy("o_custkey").orderBy("o_orderdate")
-    versions = starts.select(
-        F.col("o_custkey").alias("l_suppkey"), F.col("o_orderdate").alias("valid_from"), "o_orderkey",
-        F.lead("o_orderdate").over(by_date).alias("valid_to"),
+    """Orders as versions of their customer that overlap; some are empty, some have no end."""
+    end = F.col("o_orderdate") + F.make_dt_interval((F.col("o_orderkey") % 900).cast("int"))
+    versions = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("l_suppkey"), "o_orderkey", F.col("o_orderdate").alias("valid_from"),
+        F.when(F.col("o_orderkey") % 50 > 0, end).alias("valid_to"),
     )
     probes = table(spark, sf, "lineitem").select(
         "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_extendedprice", "l_suppkey", "l_shipdate"
     )
-    return valid_at_join(probes, versions, ["l_suppkey"], "l_shipdate", "valid_from", "valid_to", _MONTH).drop("l_suppkey")
+    return valid_at_join(probes, versions, ["l_suppkey"], "l_shipdate", "valid_from", "valid_to").drop("l_suppkey")
 
 
 # --- set operations, order, filters ------------------------------------------

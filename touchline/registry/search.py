@@ -88,6 +88,42 @@ def search_merged(spark, sf):
     return _longs(search.format_results({"team": found}))
 
 
+# Both entity types in one search: suppliers are the teams, parts the players; aliases name either.
+_SQL_BOTH = _SQL.split("entities AS (")[0] + f"""
+entities AS (
+  SELECT 'player' AS type, p_partkey AS id, p_name || ' ' || CAST(p_size AS VARCHAR) AS name, p_type AS subtitle FROM part
+  UNION ALL SELECT 'team', s_suppkey, s_name, 'supplier' FROM supplier),
+aliases AS (SELECT 'team' AS type, lower(n_name) AS alias, s_suppkey AS entity_id FROM nation JOIN supplier ON s_nationkey = n_nationkey
+  UNION ALL SELECT 'player', lower(p_brand), p_partkey FROM part WHERE p_size = 1),
+tier1 AS (SELECT q.query, e.*, 1 AS priority FROM queries q JOIN aliases a ON a.alias = lower(trim(q.query)) JOIN entities e ON e.id = a.entity_id AND e.type = a.type),
+sub AS (SELECT q.query, e.* FROM queries q JOIN entities e ON contains(lower(e.name), lower(trim(q.query)))),
+tier2 AS (SELECT query, type, id, name, subtitle, 2 AS priority FROM sub QUALIFY row_number() OVER (PARTITION BY type, query ORDER BY name, id) <= 10),
+gq AS (SELECT query, {_SQL_GRAMS.format(c='query')} AS g FROM queries),
+gn AS (SELECT name, {_SQL_GRAMS.format(c='name')} AS g FROM (SELECT DISTINCT name FROM entities)),
+alike AS (SELECT query, name, CAST(shared / (a + b - shared) AS FLOAT) AS sim
+  FROM (SELECT query, name, len(gq.g) AS a, len(gn.g) AS b, len(list_intersect(gq.g, gn.g)) AS shared FROM gq, gn)
+  WHERE shared > 0 AND CAST(CAST(shared / (a + b - shared) AS FLOAT) AS DOUBLE) > 0.3),
+full_up AS (SELECT type, query FROM (SELECT type, query FROM tier1 UNION ALL SELECT type, query FROM tier2) GROUP BY ALL HAVING count(*) >= 10),
+fuzzy AS (SELECT s.query, e.*, s.sim FROM alike s JOIN entities e ON e.name = s.name ANTI JOIN full_up f ON f.type = e.type AND f.query = s.query),
+tier3 AS (SELECT query, type, id, name, subtitle, 3 AS priority FROM fuzzy QUALIFY row_number() OVER (PARTITION BY type, query ORDER BY sim DESC, name, id) <= 10),
+best AS (SELECT query, type, id, min(priority) AS priority, any_value(name) AS name, any_value(subtitle) AS subtitle
+  FROM (FROM tier1 UNION ALL FROM tier2 UNION ALL FROM tier3) GROUP BY 1, 2, 3)"""
+
+
+@query("search_both_types", f"""WITH {_SQL_BOTH} SELECT query, type, id, name, subtitle, CAST(priority AS BIGINT) AS priority,
+    row_number() OVER (PARTITION BY type, query ORDER BY priority, name, id) AS rank FROM best QUALIFY rank <= 10""")
+def search_both_types(spark, sf):
+    """Teams and players found by each query, in one table."""
+    part = table(spark, sf, "part")
+    players = part.select(
+        F.col("p_partkey").alias("player_id"), F.concat_ws(" ", "p_name", F.col("p_size").cast("string")).alias("player_name"),
+        F.col("p_type").alias("team_name"))
+    clubs = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("team_id"), F.col("s_name").alias("team_name"), F.lit("supplier").alias("league"))
+    of_teams = _aliases(spark, sf).withColumn("entity_id", F.col("entity_id") - 100000000)
+    of_players = part.filter("p_size = 1").select(F.lit("player").alias("entity_type"), F.lower("p_brand").alias("alias"), F.col("p_partkey").alias("entity_id"))
+    return _longs(search.search(_queries(spark, sf), of_teams.unionByName(of_players), clubs, players))
+
+
 @query("theta_like_join", f"WITH {_SQL} SELECT DISTINCT lower(trim(query)) AS query, name FROM sub")
 def theta_like_join(spark, sf):
     asked = _queries(spark, sf).select(F.lower(F.trim("query")).alias("query"))

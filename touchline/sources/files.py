@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +15,7 @@ from touchline import schemas
 from touchline.functions.dates import file_league, file_season_token, normalize_season
 from touchline.functions.json import canonical_hash
 from touchline.operators.joins import without
+from touchline.operators.lineage import cut_lineage
 from touchline.operators.ranking import latest_per_key
 
 LISTED = ["rel_path", "source", "entity_type", "date", "file_name", "mtime", "size_bytes"]
@@ -22,24 +28,29 @@ def _below(path: Column, root: str) -> Column:
     return F.regexp_extract(path, rf"{start}\Q{bare}\E/(.*)$", 1)
 
 
-def _relative(root: str) -> Column:
-    """Path below ``root`` of the file a row was read from."""
-    return _below(F.col("_metadata.file_path"), root)
+def _glob_safe(name: str) -> str:
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", name)
 
 
-def with_path_parts(df: DataFrame, root: str) -> DataFrame:
-    """Adds source / entity_type / date / file name and the file's change marks."""
-    parts = F.split("rel_path", "/")
-    df = df.withColumn("rel_path", _relative(root))
-    deep = F.size(parts) >= 4
-    return df.withColumns({
-        "source": F.when(deep, parts[0]),
-        "entity_type": F.when(deep, parts[1]),
-        "date": F.when(deep, parts[2]),
-        "file_name": F.element_at(parts, -1),
-        "mtime": F.col("_metadata.file_modification_time"),
-        "size_bytes": F.col("_metadata.file_size"),
-    })
+def _existing(spark: SparkSession, patterns: list[str]) -> list[str]:
+    """Patterns that match something (Spark refuses to load one that does not)."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    found = []
+    for pattern in patterns:
+        path = hadoop.Path(pattern)
+        if path.getFileSystem(conf).globStatus(path):
+            found.append(pattern)
+    return found
+
+
+def _listing(spark: SparkSession, root: str, patterns: list[str]) -> DataFrame:
+    """Files at the patterns with their change marks; the binary source with a pruned ``content`` column only lists."""
+    found = _existing(spark, [f"{root.rstrip('/')}/{p}" for p in patterns])
+    if not found:
+        return spark.createDataFrame([], "path string, mtime timestamp, size_bytes bigint, rel_path string")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    listed = reader.load(found).select("path", F.col("modificationTime").alias("mtime"), F.col("length").alias("size_bytes"))
+    return listed.withColumn("rel_path", _below(F.col("path"), root))
 
 
 def discover_files(
@@ -47,29 +58,15 @@ def discover_files(
 ) -> tuple[DataFrame, DataFrame]:
     """(well placed files, files at a too short path). Contents are not read.
 
-    The binary source with a pruned ``content`` column only lists; filtering uses file metadata.
+    Source and date select folders while the tree is listed; what lies elsewhere is not visited. Short paths are reported
+    whatever is selected.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .load(root)
-        .select("path", F.col("modificationTime").alias("mtime"), F.col("length").alias("size_bytes"))
-    )
+    source_folder, date_folder = (_glob_safe(v) if v else "*" for v in (source, date))
     parts = F.split("rel_path", "/")
-    deep = F.size(parts) >= 4
-    placed = listing.withColumn("rel_path", _below(F.col("path"), root)).withColumns({
-        "source": F.when(deep, parts[0]),
-        "entity_type": F.when(deep, parts[1]),
-        "date": F.when(deep, parts[2]),
-        "file_name": F.element_at(parts, -1),
-    })
-    good = placed.filter(F.col("source").isNotNull())
-    if source:
-        good = good.filter(F.col("source") == source)
-    if date:
-        good = good.filter(F.col("date") == date)
-    return good.select("path", *LISTED), placed.filter(F.col("source").isNull()).select("path", "rel_path")
+    good = _listing(spark, root, [f"{source_folder}/*/{date_folder}"]).filter(F.size(parts) >= 4)
+    placed = good.withColumns({"source": parts[0], "entity_type": parts[1], "date": parts[2], "file_name": F.element_at(parts, -1)})
+    short = _listing(spark, root, ["*.json", "*/*.json", "*/*/*.json"])
+    return placed.select("path", *LISTED), short.filter(F.size(parts) < 4).select("path", "rel_path")
 
 
 def pending_files(files: DataFrame, tracked: DataFrame, full_rehash: bool = False) -> DataFrame:
@@ -95,22 +92,36 @@ def empty_tracking(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schemas.TRACKING)
 
 
-def read_pending(spark: SparkSession, root: str, pending: DataFrame) -> DataFrame:
-    """Contents of the pending files only (NULL payload when the bytes are not UTF-8).
+def store_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI (local, hdfs, s3, gs) and the path in it, for use in tasks."""
+    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "/", path))
+
+
+def read_text(path: str) -> str | None:
+    """A file's text; None if it cannot be read or is not UTF-8."""
+    try:
+        store, place = store_of(path)
+        with store.open_input_stream(place) as stream:
+            return stream.read().decode()
+    except (OSError, UnicodeDecodeError):
+        return None
+
+
+def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1)
+            yield row.append_column("payload", pa.array([read_text(row.column("path")[0].as_py())], pa.string()))
+
 
-    The oldest pending change time is pushed into the file scan, which skips older files without
-    opening them; the path join drops the unchanged rest.
+def read_pending(pending: DataFrame) -> DataFrame:
+    """Contents of the pending files (NULL payload where unreadable or not UTF-8). No other file is opened.
+
+    Files are dealt to tasks by path and read one at a time.
     """
-    oldest = pending.agg(F.min("mtime")).first()[0]
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .load(root)
-    )
-    files = files.filter(F.col("modificationTime") >= F.lit(oldest)) if oldest else files.limit(0)
-    content = files.select("path", F.try_validate_utf8(F.col("content").cast("string")).alias("payload"))
-    return content.join(pending, "path")
+    tasks = int(pending.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = ", ".join(f"`{c}` {t}" for c, t in pending.dtypes)
+    return pending.repartition(tasks, "path").mapInArrow(_read_batches, f"{schema}, payload string")
 
 
 def tag_documents(docs: DataFrame) -> DataFrame:
@@ -133,16 +144,54 @@ def split_documents(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, tagged.filter("reason is not null").select("rel_path", "source", "entity_type", "reason")
 
 
+def short_paths(short: DataFrame) -> DataFrame:
+    """Files at a too short path as quarantined documents."""
+    none = F.lit(None).cast("string")
+    return short.select("rel_path", none.alias("source"), none.alias("entity_type"), F.lit("short path").alias("reason"))
+
+
 def parse_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Tagged and split in one go, the rest of the batch goes on without the bad documents."""
     return split_documents(tag_documents(docs))
 
 
 def save_raw(df: DataFrame, root: str) -> None:
-    """Append JSON snapshots below source / entity_type / date, never overwriting."""
+    """Append JSON rows below source / entity_type / date, never overwriting."""
     df.write.partitionBy("source", "entity_type", "date").mode("append").json(root)
 
 
+def _save_batches(root: str, replace: bool):
+    schema = pa.schema([("rel_path", pa.string()), ("written", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = store_of(root)
+        for batch in batches:
+            out = []
+            for rel_path, payload in zip(batch.column("rel_path").to_pylist(), batch.column("payload").to_pylist()):
+                folder, place = f"{base}/{rel_path}".rsplit("/", 1)[0], f"{base}/{rel_path}"
+                fresh = replace or store.get_file_info(place).type == fs.FileType.NotFound
+                if fresh:
+                    store.create_dir(folder, recursive=True)
+                    # written beside its place and moved there whole; hidden names are not listed
+                    partial = f"{folder}/.{uuid.uuid4().hex}"
+                    with store.open_output_stream(partial) as stream:
+                        stream.write((payload or "").encode())
+                    store.move(partial, place)
+                out.append((rel_path, fresh))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(schema.types)], schema=schema)
+
+    return run
+
+
+def save_documents(docs: DataFrame, root: str, replace: bool = False) -> DataFrame:
+    """Each row's ``payload`` as a file of its own at source / entity_type / date / file_name below ``root``.
+
+    A file that exists is left as it is unless ``replace``. Returns ``rel_path`` and whether it was ``written``, computed once.
+    """
+    placed = docs.select(F.concat_ws("/", "source", "entity_type", "date", "file_name").alias("rel_path"), "payload")
+    return cut_lineage(placed.mapInArrow(_save_batches(root, replace), "rel_path string, written boolean"))
+
+
 def not_collected_today(work: DataFrame, files: DataFrame, today: str, entity_type: str) -> DataFrame:
     """E5: work items (code, season, club_id) without a file of today's date."""
     done = files.filter((F.col("date") == today) & (F.col("entity_type") == entity_type)).withColumn(
