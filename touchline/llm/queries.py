@@ -134,17 +134,22 @@ def op3_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every document and its edited text, their likeness, and for ids divisible by 100 the documents in radius."""
+    """Fingerprints of every document and its edited text and their likeness; ``class_id`` is the least id with the same fingerprint.
+    Ids divisible by 100 are searched among all: ``near_classes`` lists the classes within the radius, ``n_within`` counts their rows."""
     pairs = simhash.with_next(table(spark, sf_dir, "documents"))
     marks = checkpointed(pairs.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "next_fingerprint"))
-    asked = marks.filter(F.col("doc_id") % 100 == 0)
-    near = simhash.within_radius(marks, asked).groupBy("fingerprint").agg((F.sum("rows") - 1).alias("n_within"))
+    found = simhash.within_radius(marks, marks.filter(F.col("doc_id") % 100 == 0))
+    other = F.when(F.col("near") != F.col("fingerprint"), F.col("near_id"))
+    near = found.groupBy("fingerprint").agg(F.sort_array(F.collect_list(other)).alias("near_classes"), (F.sum("rows") - 1).alias("n_within"))
+    # a fingerprint may be that of a third of all rows: its rows meet copies of what is known of it
+    known = simhash.classes(marks).join(near, "fingerprint", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    rows = marks.withColumn("salt", F.pmod(F.hash("doc_id", "edited_sha256"), F.lit(16))).join(known, ["fingerprint", "salt"])
     like = lambda other: simhash.likeness(simhash.distance(F.col("fingerprint"), F.col(other)))
-    return marks.join(near, "fingerprint", "left").select(
+    asked = lambda c: F.when(F.col("doc_id") % 100 == 0, F.col(c)).alias(c)
+    return rows.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        like("edited_fingerprint").alias("near_edited"), like("next_fingerprint").alias("near_next"),
-        F.when(F.col("doc_id") % 100 == 0, F.col("n_within")).alias("n_within"))
+        like("edited_fingerprint").alias("near_edited"), like("next_fingerprint").alias("near_next"), "class_id", asked("near_classes"), asked("n_within"))
 
 
 @query("""
