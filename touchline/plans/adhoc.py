@@ -25,7 +25,7 @@ WithCTE CTERelationDef CTERelationRef OneRowRelation LogicalRDD LocalRelation Ex
 """.split())
 #: ... and to its expressions: columns and literals, logic, comparison, arithmetic, text, dates, aggregates, windows, subqueries.
 EXPRESSIONS = frozenset("""
-Alias AttributeReference OuterReference Literal With CommonExpressionDef CommonExpressionRef Cast TryCast CaseWhen If Coalesce NullIf Nvl Nvl2 IsNull IsNotNull And Or Not EqualTo EqualNullSafe
+Alias AttributeReference OuterReference Literal TypedNullLiteral With CommonExpressionDef CommonExpressionRef Cast TryCast CaseWhen If Coalesce NullIf Nvl Nvl2 IsNull IsNotNull And Or Not EqualTo EqualNullSafe
 LessThan LessThanOrEqual GreaterThan GreaterThanOrEqual Between In InSubquery ScalarSubquery ListQuery Exists Like ILike RLike Contains StartsWith EndsWith
 Add Subtract Multiply Divide IntegralDivide Remainder Pmod UnaryMinus UnaryPositive TryAdd TrySubtract TryMultiply TryDivide Abs Sign Sqrt Pow Exp Log
 Round BRound Floor Ceil RoundFloor RoundCeil CeilExpressionBuilder Greatest Least Upper Lower InitCap Length Substring Left Right StringTrim StringTrimLeft
