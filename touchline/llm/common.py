@@ -82,9 +82,14 @@ def matches(text: Column, pattern: str) -> Column:
 
     The pieces between the matches and the matches themselves add up to the offsets.
     """
+    return matches_of(text, F.lit(pattern))
+
+
+def matches_of(text: Column, pattern: Column) -> Column:
+    """``matches`` of a pattern that is a column itself."""
     none = F.array().cast("array<struct<start:int,stop:int,value:string>>")
-    placed = lambda found: let(F.split(text, pattern, -1), lambda pieces: spans(pieces, found))
-    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(none))
+    placed = lambda found: let(F.split(text, pattern, F.lit(-1)), lambda pieces: spans(pieces, found))
+    return let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(none))
 
 
 def may_hold(df: DataFrame, value: Column, known: DataFrame, known_value: Column, name: str, bits: int = BITMAP_BITS) -> DataFrame:

@@ -2,22 +2,25 @@
 
 1. One pass over the texts makes per document its shingle set's digest and, from many universal hash minima, the keys of its
    bands and a one-byte-per-minimum signature. Documents with equal sets form a class and go on as one node.
-2. Nodes that share a band key are candidates. First every node meets one centre, the smallest node of its buckets. The links
-   that hold are made into components, which settles most of every large group with one comparison per node.
+2. Nodes that share a band key are candidates. First every node meets one centre, the smallest node of its buckets. Along the links
+   that hold, nodes take over the label of their centre's centre, which settles most of every large group with one comparison per
+   node.
 3. What is left are pairs of one bucket in different components. Signatures are compared inside the tasks: first each node
-   offers its likeliest partner. Then, for every remaining pair whose signatures allow the threshold, the node of the smaller
+   offers its likeliest partner, and labels are handed over the links that hold. Then, for every remaining pair whose signatures allow the threshold, the node of the smaller
    component visits the other's home (the group of its centre): one row per visitor and home, however many pairs that covers.
    There an index over the members' full sets gives the visitor's exact overlap with each. So no link between different
    components is missed, and pairs are never listed.
-4. Every link is confirmed on full sets, from texts fetched for the candidates only.
+4. Every link is confirmed on full sets, from texts fetched for the candidates only. Labels only save comparisons; the components
+   are searched once, over all links confirmed.
 
 Signature filters lie five standard deviations below the threshold, and the bands miss a pair at the threshold with
 probability below 1e-6. Buckets larger than ``BLOCK`` are compared block against block in separate tasks; centres of many
-nodes are split by count, homes by the size of their sets. Texts are pre-filtered by a bitmap of fixed size before they are shuffled.
+nodes are split by count, homes by the size of their sets and by the number of their visitors. Texts are pre-filtered by a bitmap of fixed size before they are shuffled.
 
 Words, shingles: ASCII capitals are lowered; a text with fewer words than a shingle has one shingle, all its words. Null texts
 and texts without words have no shingles, link with nothing and are kept. Rows without id take no part, have no component and
-are kept. Rows that repeat an id are each judged by their own text.
+are kept. Rows that repeat an id are each judged by their own text. Ids must be integers (others raise a cast error). Texts are handled one at
+a time whatever their length; an empty table gives no rows; columns besides those named are not looked at.
 """
 
 from __future__ import annotations
@@ -31,13 +34,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import checkpointed, packed, possible_rows
+from touchline.llm.common import checkpointed, may_hold, packed, possible_rows
 from touchline.llm.components import components
 
 #: Rows of a bucket that one task compares with each other, and members of one centre in one group.
 BLOCK = 2048
-#: Shingles that one part of a home holds in memory, about.
-HOME_SHINGLES = 1_000_000
+#: Shingles that one part of a home holds in memory, and visitors that it has, about.
+HOME_SHINGLES, VISITORS = 1_000_000, 512
 
 
 @dataclass(frozen=True)
@@ -282,10 +285,15 @@ class _Home:
 def _visited(docs: DataFrame, nodes: DataFrame, homes: DataFrame, settled: DataFrame, visits: DataFrame, settings: Settings) -> DataFrame:
     """Confirmed links of visitors ``a`` with members of the homes ``b`` that they visit."""
     members = homes.join(visits.select(F.col("b").alias("home")).distinct(), "home").join(nodes.select("node", "n_shingles"), "node")
-    parts = members.groupBy("home").agg(F.ceil(F.sum("n_shingles") / HOME_SHINGLES).cast("int").alias("parts"))
-    here = members.join(parts, "home").select("home", F.pmod(F.hash("node"), F.col("parts")).alias("part"), F.lit(0).alias("role"), "node")
-    calls = visits.select(F.col("b").alias("home"), F.col("a").alias("node")).join(parts, "home")
-    calls = calls.select("home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("role"), "node")
+    calls = visits.select(F.col("b").alias("home"), F.col("a").alias("node"))
+    shares = calls.groupBy("home").agg(F.ceil(F.count("*") / VISITORS).cast("int").alias("shares"))
+    parts = members.groupBy("home").agg(F.ceil(F.sum("n_shingles") / HOME_SHINGLES).cast("int").alias("parts")).join(shares, "home")
+    # a grid of parts: each has a share of the members and a share of the visitors
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    here = members.join(parts, "home").select("home", "node", "shares", F.pmod(F.hash("node"), F.col("parts")).alias("of"), each("shares").alias("share"))
+    calls = calls.join(parts, "home").select("home", "node", "shares", each("parts").alias("of"), F.pmod(F.hash("node"), F.col("shares")).alias("share"))
+    place = (F.col("of") * F.col("shares") + F.col("share")).alias("part")
+    here, calls = (df.select("home", place, F.lit(role).alias("role"), "node") for role, df in enumerate((here, calls)))
     roles = here.unionByName(calls).join(settled, "node", "left").withColumn("component", F.coalesce("component", "node"))
     roles = checkpointed(roles)
     placed = possible_rows(docs, roles.select("node")).join(roles, F.col("doc_id") == F.col("node"))
@@ -313,6 +321,26 @@ def _visited(docs: DataFrame, nodes: DataFrame, homes: DataFrame, settled: DataF
     return ordered.select("home", "part", "role", "node", "component", "text").mapInArrow(run, "a long, b long").distinct()
 
 
+def handed_on(labels: DataFrame) -> DataFrame:
+    """``node`` and ``component``: every node takes over the label of its label, and a label without one labels itself."""
+    of = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
+    moved = labels.join(of, "component", "left").select("node", F.coalesce("further", "component").alias("component"))
+    tops = labels.select(F.col("component").alias("node")).distinct().join(labels, "node", "left_anti")
+    return checkpointed(moved.unionByName(tops.withColumn("component", F.col("node"))))
+
+
+def joined_labels(settled: DataFrame, links: DataFrame) -> DataFrame:
+    """``settled`` after every label was replaced by the least label that its nodes are linked with, and that by its own."""
+    a, b = (settled.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")) for end in ("a", "b"))
+    pairs = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("x"), F.coalesce("cb", "b").alias("y")).filter("x <> y")
+    least = checkpointed(pairs.select(F.greatest("x", "y").alias("component"), F.least("x", "y").alias("lower")).groupBy("component").agg(F.min("lower").alias("lower")))
+    onward = least.select(F.col("component").alias("lower"), F.col("lower").alias("lowest"))
+    again = least.join(onward, "lower", "left").select("component", F.coalesce("lowest", "lower").alias("lower"))
+    alone = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(settled, "node", "left_anti").withColumn("component", F.col("node"))
+    every = settled.select("node", "component").unionByName(alone.select("node", "component")).join(again, "component", "left")
+    return checkpointed(every.select("node", F.coalesce("lower", "component").alias("component")))
+
+
 def near_duplicates(df: DataFrame, settings: Settings = Settings(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per row of ``df``: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``."""
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -326,13 +354,16 @@ def near_duplicates(df: DataFrame, settings: Settings = Settings(), text: str =
     homes = checkpointed(shared.groupBy("node").agg(F.min("centre").alias("home")))
     shared = checkpointed(shared.select("key", "node").join(homes, "node"))
     first_pairs = homes.filter("node <> home").select(F.col("home").alias("a"), F.col("node").alias("b"))
-    # each step starts from the stars of the components so far, so that few rounds are left for it
-    stars = lambda settled: settled.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    settled = components(confirmed(docs, first_pairs, settings))
+    linked = checkpointed(confirmed(docs, first_pairs, settings))
+    settled = handed_on(linked.select(F.col("b").alias("node"), F.col("a").alias("component")))
     offered = checkpointed(_across(shared, nodes, settled, settings, visits=False).join(first_pairs, ["a", "b"], "left_anti"))
-    settled = components(stars(settled).unionByName(confirmed(docs, offered, settings)))
+    links = checkpointed(linked.unionByName(confirmed(docs, offered, settings)))
+    settled = joined_labels(settled, links)
     visits = checkpointed(_across(shared, nodes, settled, settings, visits=True))
-    settled = components(stars(settled).unionByName(_visited(docs, nodes, homes, settled, visits, settings)))
+    links = links.unionByName(_visited(docs, nodes, homes, settled, visits, settings))
+    # labels are reachable nodes, so their stars shorten the paths of the search
+    stars = settled.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    settled = components(links.unionByName(stars))
     classes = nodes.select("digest", "node").join(settled, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     rows = made.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
@@ -340,7 +371,15 @@ def near_duplicates(df: DataFrame, settings: Settings = Settings(), text: str =
 
 
 def deduplicated(df: DataFrame, settings: Settings = Settings(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` that stand for their group, all columns unchanged."""
+    """The rows of ``df`` that stand for their group, all columns unchanged.
+
+    Of rows that repeat an id (or have none) with the same text one stays, that whose other columns hash lowest. Rows of one id with
+    different texts go or stay together. Columns must not be maps, which have no hash.
+    """
     gone = near_duplicates(df, settings, text, doc_id).filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    rows = packed(df).withColumn("id", F.col(f"row.`{doc_id}`").cast("long"))
-    return rows.join(gone, F.col("id") == F.col("gone_id"), "left_anti").select("row.*")
+    rows = packed(df).withColumn("id", F.col(f"row.`{doc_id}`").cast("long")).withColumn("body", F.col(f"row.`{text}`"))
+    again = rows.select("id", F.xxhash64("body").alias("hash")).groupBy("id", "hash").agg(F.count("*").alias("n")).filter("n > 1")
+    stay = rows.join(gone, F.col("id") == F.col("gone_id"), "left_anti")
+    tried = may_hold(stay, F.xxhash64("id", F.xxhash64("body")), checkpointed(again), F.xxhash64("id", "hash"), "maybe")
+    once = tried.filter("maybe").withColumn("draw", F.xxhash64("row")).groupBy("id", "body").agg(F.min_by("row", "draw").alias("row"))
+    return tried.filter("not maybe").select("row").unionByName(once.select("row")).select("row.*")

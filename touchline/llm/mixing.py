@@ -6,8 +6,10 @@ targets. All copies are put into order of finish time and the mix is the prefix
 
 Both running sums (within a source, and over the mix) use fixed range slices: sums per slice, then a running sum over the
 slices. The slices of a source are ranges of a uniform hash, so a source that holds a third of all rows is spread over all of
-them. The slices of the mix are ranges of virtual time; only the slice in which the budget ends is ordered row by row. Only
-ids, hashes and sizes are shuffled, never texts. Work on one task: one row per source, and one row per slice of virtual time.
+them; the hash is of id and text, so rows without id are spread like others. The slices of the mix are ranges of virtual time; the
+slice in which the budget ends is sliced again until few copies are left to be ordered one by one. Only ids, hashes and sizes are
+shuffled, never texts. Work on one task: one row per source (sources are taken to be far fewer than documents), one row per slice
+of virtual time, and ``CUT_ROWS`` copies.
 
 Null texts have size 0; a null source is a source of its own, last in order. Documents of size 0 take 0 words. Rows that repeat
 id, source and text are taken equally often. An empty table gives an empty mix. Reruns agree.
@@ -15,6 +17,8 @@ id, source and text are taken equally often. An empty table gives an empty mix.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,6 +31,8 @@ WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 #: Slices of virtual time per unit; the budget falls near time 1.
 TIME_SLICES = 4096
+#: Copies of the stretch in which the budget ends that one task orders; a longer stretch is sliced again.
+CUT_ROWS = 100_000
 SEED = "mix-1"
 
 
@@ -40,7 +46,7 @@ def sizes(df: DataFrame, text: str = "text", source: str = "source", doc_id: str
             F.col(f"`{source}`").alias("source"),
             F.coalesce(F.size(words(content)), F.lit(0)).cast("long").alias("size"),
             F.xxhash64(content).alias("content"),
-            F.md5(F.concat(ident, F.lit(f":{SEED}")).cast("binary")).alias("shuffled"),
+            F.md5(F.concat(ident, F.lit(f":{SEED}:"), F.md5(F.coalesce(content, F.lit("")).cast("binary"))).cast("binary")).alias("shuffled"),
         )
         .groupBy("doc_id", "source", "size", "content", "shuffled")
         .agg(F.count("*").alias("rows"))
@@ -108,6 +114,30 @@ def schedule(sized: DataFrame, target: DataFrame, max_copies: int = MAX_COPIES)
     )
 
 
+def _cut(copies: DataFrame, budget: int, most: int | None = None) -> tuple[float, float, int]:
+    """The least and greatest finish time of a stretch in which the budget ends, and the load of all copies before it.
+
+    The stretch is the slice of time in which the running load passes the budget, cut into slices again until it holds
+    ``most`` copies or a single instant. The driver sees one row per slice.
+    """
+    most = most or CUT_ROWS
+    stretch, offset = copies, 0
+    while True:
+        facts = [F.sum("load").alias("load"), F.min("finish").alias("low"), F.max("finish").alias("high"), F.count(F.lit(1)).alias("n")]
+        found = None
+        for row in sorted(stretch.groupBy("slice").agg(*facts).collect(), key=lambda r: r.low):
+            if offset + row.load > budget:
+                found = row
+                break
+            offset += row.load
+        if found is None:
+            return math.inf, math.inf, offset
+        if found.n <= most or found.low == found.high:
+            return found.low, found.high, offset
+        place = F.least(F.floor((F.col("finish") - found.low) / (found.high - found.low) * TIME_SLICES), F.lit(TIME_SLICES - 1))
+        stretch = copies.filter(F.col("finish").between(found.low, found.high)).withColumn("slice", place)
+
+
 def mix(df: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """Per document: ``doc_id``, ``source``, ``size``, ``source_size``, its source's ``target``, ``copies`` and ``taken`` words.
 
@@ -116,23 +146,14 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", doc_id: str =
     sized = checkpointed(sizes(df, text, source, doc_id))
     target = targets(sized)
     copies = schedule(sized, target)
-    over = W.orderBy("slice")
-    slices = (
-        copies.groupBy("slice").agg(F.sum("load").alias("slice_load"))
-        .select(
-            F.col("slice").alias("slice_of"),
-            F.sum("slice_load").over(over.rowsBetween(W.unboundedPreceding, 0)).alias("until"),
-            (F.sum("slice_load").over(over.rowsBetween(W.unboundedPreceding, 0)) - F.col("slice_load")).alias("offset"),
-        )
-        .join(target.agg(F.sum("source_size").alias("budget")))
-    )
-    placed = copies.join(F.broadcast(slices), F.col("slice") == F.col("slice_of"))
+    budget = target.agg(F.sum("source_size")).first()[0] or 0
+    low, high, offset = _cut(copies, budget)
     order = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("copy"), F.col("shuffled"), F.col("doc_id"), F.col("content")]
-    at_cut = (F.col("until") > F.col("budget")) & (F.col("offset") < F.col("budget"))
-    running = F.col("offset") + F.sum("load").over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    running = F.lit(offset) + F.sum("load").over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
     unit = ["doc_id", "source", "size", "content", "rows", "source_size", "target"]
-    whole = placed.filter(~at_cut).select(*unit, (F.col("until") <= F.col("budget")).cast("int").alias("n"))
-    part = placed.filter(at_cut).select(*unit, (running <= F.col("budget")).cast("int").alias("n"))
+    inside = F.col("finish").between(low, high)
+    whole = copies.filter(~inside).select(*unit, (F.col("finish") < low).cast("int").alias("n"))
+    part = copies.filter(inside).select(*unit, (running <= budget).cast("int").alias("n"))
     counted = whole.unionByName(part).groupBy(*unit).agg(F.sum("n").alias("copies"))
     return counted.withColumn("taken", F.col("copies") * F.col("size"))
 

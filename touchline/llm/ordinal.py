@@ -76,7 +76,7 @@ class Featurizer:
         slots = [_slot("w:" + bare), *(_slot(f"p:{bare[:n]}") for n in STEMS if len(bare) > n)] if bare else []
         if self.place is not None:
             slots = [self.place[s] for s in slots if s in self.place]
-        found = self.known[word] = (slots, re.sub(r"\d+", "0", _LETTERS.sub(shape, word[:64])))
+        found = self.known[word] = (slots, re.sub(r"\d+", "0", _LETTERS.sub(shape, word)))
         return found
 
     def features(self, text: str | None) -> np.ndarray:
