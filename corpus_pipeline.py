@@ -6,15 +6,14 @@ folder and reads them again for the next, so a lost executor costs at most one s
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import bpe, minhash, mixing, pii, quality_rules
-from touchline.llm.queries import tokenizer_path
+from touchline.llm.common import shared_folder
+from touchline.llm.queries import SURROGATE_KEY, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -31,7 +30,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced; ``n_chars`` follows the new text."""
-    replaced = pii.pseudonymised(docs)
+    replaced = pii.pseudonymised(docs, SURROGATE_KEY)
     return replaced.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else replaced
 
 
@@ -65,8 +64,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpus-")
-    name = f"{folder.rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    name = shared_folder(spark, "corpus")
     for k, (_, stage) in enumerate(STAGES):
         if k:
             docs.write.parquet(f"{name}/{k}")

@@ -271,10 +271,13 @@ def page_expected_goals(spark, sf):
     return _comparable(pages.expected_goal_rows(docs))
 
 
-@query("page_tables", "SELECT page_id, CAST(0 AS BIGINT) AS row_no FROM pages WHERE html LIKE '%<table%<tbody%<tr%'")
+@query("page_tables", "SELECT page_id, CAST(r AS BIGINT) AS row_no FROM (SELECT page_id, unnest(range(1 + page_id % 3)) AS r FROM pages)")
 def page_tables(spark, sf):
-    """The crawled pages themselves; the generated ones carry no tables."""
-    return _comparable(pages.table_cells(table(spark, sf, "pages").select("page_id", "html")).select("page_id", "row_no"))
+    """The crawled pages, which carry no tables of their own, behind a table of one to three rows."""
+    rows = F.concat(F.lit("<tr><td>"), F.col("page_id").cast("string"), F.lit("</td><td>x</td></tr>"))
+    front = F.concat(F.lit("<html><body><table><tbody>"), F.repeat(rows, (F.col("page_id") % 3 + 1).cast("int")), F.lit("</tbody></table>"))
+    docs = table(spark, sf, "pages").select("page_id", F.concat(front, F.coalesce("html", F.lit(""))).alias("html"))
+    return _comparable(pages.table_cells(docs).select("page_id", "row_no"))
 
 
 @query("page_player_array", "SELECT s_suppkey AS page_id, CASE WHEN s_acctbal > 0 THEN '[{\"id\":' || s_suppkey || ',\"name\":\"' || s_name || '\"}]' ELSE '[]' END AS players FROM supplier")

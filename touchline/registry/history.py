@@ -42,9 +42,14 @@ def scd2_as_of(spark, sf):
     return history.as_of_history(_history(spark, sf), F.lit("1998-07-01").cast("date"))
 
 
-@query("scd2_one_open_row", f"WITH {_SQL} SELECT o_custkey, count(*) AS n FROM history WHERE valid_to IS NULL GROUP BY 1 HAVING count(*) > 1")
+@query("scd2_one_open_row", f"""WITH {_SQL}, damaged AS (
+      SELECT o_custkey, valid_to FROM history UNION ALL SELECT o_custkey, CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE valid_from END FROM history WHERE o_custkey % 7 = 0)
+    SELECT o_custkey, count(*) AS n FROM damaged WHERE valid_to IS NULL GROUP BY 1 HAVING count(*) > 1""")
 def scd2_one_open_row(spark, sf):
-    return history.open_row_violations(_history(spark, sf), ["o_custkey"])
+    """A history in which a second run left further versions of some customers, open and closed ones."""
+    sound = _history(spark, sf)
+    end = F.when(F.col("o_custkey") % 3 == 0, None).otherwise(F.col("valid_from"))
+    return history.open_row_violations(sound.unionByName(sound.filter("o_custkey % 7 = 0").withColumn("valid_to", end)), ["o_custkey"])
 
 
 @query("scd2_next_run", f"""WITH {_SQL},

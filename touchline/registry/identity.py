@@ -288,7 +288,12 @@ def dq_source_agreement(spark, sf):
 
 
 @query("dq_loan_consistency", f"""WITH {_SQL_MARTS}
-    SELECT player_id, season, team_id, parent_team_id, is_on_loan FROM performance
-    WHERE is_on_loan AND (parent_team_id IS NULL OR team_id = parent_team_id)""")
+    SELECT player_id, season, team_id, parent_team_id, true AS is_on_loan FROM performance
+    WHERE (is_on_loan OR player_id % 3 = 0) AND (parent_team_id IS NULL OR team_id = parent_team_id)
+    UNION ALL SELECT player_id, NULL, team_id, parent_team_id, true FROM profile
+    WHERE (is_on_loan OR player_id % 5 = 0) AND (parent_team_id IS NULL OR team_id = parent_team_id)""")
 def dq_loan_consistency(spark, sf):
-    return quality.inconsistent_loans(*_marts(spark, sf))
+    """Both marts with loan flags set for some players whatever their teams."""
+    performance, profile = _marts(spark, sf)
+    flagged = lambda df, n: df.withColumn("is_on_loan", F.col("is_on_loan") | (F.col("player_id") % n == 0))
+    return quality.inconsistent_loans(flagged(performance, 3), flagged(profile, 5))
