@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -49,6 +50,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished steps go: Spark deletes them once the driver has collected the plans that made them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def sums_before(lengths: Column, block: int = 64) -> Column:
     """For each element of an int array the sum of all earlier ones, by block sums (no array is copied per element)."""
     total = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)

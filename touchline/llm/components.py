@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import checkpointed
+from touchline.llm.common import checkpointed, release
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -39,6 +39,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         following = checkpointed(small_star(large_star(current)))
         new_state = _state(following)
         current = following
+        release(edges.sparkSession)
         if new_state == state:
             break
         state = new_state

@@ -34,12 +34,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import checkpointed, may_hold, packed, possible_rows
+from touchline.llm.common import checkpointed, may_hold, packed, possible_rows, release
 from touchline.llm.components import components
 
 #: Rows of a bucket that one task compares with each other, and members of one centre in one group.
 BLOCK = 2048
-#: Shingles that one part of a home holds in memory, and visitors that it has, about.
+#: Shingles that one part of a home holds in memory, and members and visitors that it has, about.
 HOME_SHINGLES, VISITORS = 1_000_000, 512
 
 
@@ -287,7 +287,8 @@ def _visited(docs: DataFrame, nodes: DataFrame, homes: DataFrame, settled: DataF
     members = homes.join(visits.select(F.col("b").alias("home")).distinct(), "home").join(nodes.select("node", "n_shingles"), "node")
     calls = visits.select(F.col("b").alias("home"), F.col("a").alias("node"))
     shares = calls.groupBy("home").agg(F.ceil(F.count("*") / VISITORS).cast("int").alias("shares"))
-    parts = members.groupBy("home").agg(F.ceil(F.sum("n_shingles") / HOME_SHINGLES).cast("int").alias("parts")).join(shares, "home")
+    parts = F.greatest(F.ceil(F.sum("n_shingles") / HOME_SHINGLES), F.ceil(F.count("*") / VISITORS)).cast("int").alias("parts")
+    parts = members.groupBy("home").agg(parts).join(shares, "home")
     # a grid of parts: each has a share of the members and a share of the visitors
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     here = members.join(parts, "home").select("home", "node", "shares", F.pmod(F.hash("node"), F.col("parts")).alias("of"), each("shares").alias("share"))
@@ -354,13 +355,19 @@ def near_duplicates(df: DataFrame, settings: Settings = Settings(), text: str =
     homes = checkpointed(shared.groupBy("node").agg(F.min("centre").alias("home")))
     shared = checkpointed(shared.select("key", "node").join(homes, "node"))
     first_pairs = homes.filter("node <> home").select(F.col("home").alias("a"), F.col("node").alias("b"))
+    release(df.sparkSession)
     linked = checkpointed(confirmed(docs, first_pairs, settings))
+    release(df.sparkSession)
     settled = handed_on(linked.select(F.col("b").alias("node"), F.col("a").alias("component")))
     offered = checkpointed(_across(shared, nodes, settled, settings, visits=False).join(first_pairs, ["a", "b"], "left_anti"))
+    release(df.sparkSession)
     links = checkpointed(linked.unionByName(confirmed(docs, offered, settings)))
+    release(df.sparkSession)
     settled = joined_labels(settled, links)
     visits = checkpointed(_across(shared, nodes, settled, settings, visits=True))
-    links = links.unionByName(_visited(docs, nodes, homes, settled, visits, settings))
+    release(df.sparkSession)
+    links = checkpointed(links.unionByName(_visited(docs, nodes, homes, settled, visits, settings)))
+    release(df.sparkSession)
     # labels are reachable nodes, so their stars shorten the paths of the search
     stars = settled.select(F.col("node").alias("a"), F.col("component").alias("b"))
     settled = components(links.unionByName(stars))
