@@ -164,7 +164,7 @@ def test_many_dates_equal_single_dates(spark, world, rows):
 def test_reads(world, rows):
     lst, res, perf = world["league_standings"], world["results"], world["performance"]
     assert [tuple(r) for r in reads.list_leagues(lst).collect()] == [(PL, [S])]
-    assert reads.resolve_season(lst, PL).first()[0] == S and reads.resolve_season(lst, "none").first()[0] is None
+    assert reads.resolve_season(lst, PL).first()[0] == S and reads.resolve_season(lst, "none").first() is None
     assert reads.resolve_season(lst, PL, "2020-2021").first()[0] == "2020-2021"
     assert [r["team_id"] for r in reads.league_teams(lst, PL).collect()] == [57, 65, 66]
     assert [r["position"] for r in reads.league_table(lst, PL).collect()] == [1, 2, 3]
