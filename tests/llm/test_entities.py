@@ -103,3 +103,19 @@ def test_pipeline_against_plain_python(spark):
     for name, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, "")
         assert empty.count() == 0, name
+
+
+def test_license_texts_without_a_name(spark):
+    from touchline.llm import licenses
+
+    texts = [
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and\nassociated documentation files (the \"Software\"), to deal", "mit"),
+        ("Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that", "bsd"),
+        ("GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "gpl,gpl-2"),
+        ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for", "zlib"),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+        ("Permission was granted to nobody.", ""),
+    ]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: ",".join(r.labels) for r in licenses.scan(df).collect()}
+    assert [got[k] for k in range(len(texts))] == [labels for _, labels in texts]

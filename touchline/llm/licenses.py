@@ -4,11 +4,12 @@ A text is scanned for a handful of keywords first; only texts with a keyword mee
 expression with a label and a priority. Overlapping detections are resolved by containment: one that lies inside a detection
 of higher priority, or of equal priority and larger extent, is dropped.
 
-The rules are a fixed table of names times the forms in which licenses are stated, so the broadcast of rules has a fixed
-size. Each detection is a small row; containment is one ordered pass per text with a running maximum of ends, not a
+The rules are a fixed table of names times the forms in which licenses are stated, and of sentences of license texts and notices,
+so the broadcast of rules has a fixed size. Each detection is a small row; containment is one ordered pass per text with a running maximum of ends, not a
 comparison of pairs. Texts stay where they are read: rules meet them without a shuffle.
 
-Null and empty texts have no words and no labels. Repeated rows get equal results.
+Null and empty texts have no words and no labels. Repeated rows get equal results. Texts are scanned whole whatever their length; an
+empty table gives no rows; columns besides those named are not looked at.
 """
 
 from __future__ import annotations
@@ -100,6 +101,28 @@ FORMS = [
     (2, 0.9, "(?:under|subject to|according to) (?:the terms of )?the ", " licen[cs]e"),
     (1, 0.6, "", " licen[cs]e"),
 ]
+#: Sentences of license texts and notices that name no license or no version: label, keyword, words in order (whatever stands between).
+SIGNATURES = [
+    ("mit", "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("bsl-1", "hereby granted", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("x11", "x consortium", "except as contained in this notice the name of the x consortium shall not be used in advertising"),
+    ("isc", "permission to use", "permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"),
+    ("postgresql", "permission to use", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement"),
+    ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd-3", "endorse", "may(?: not)? be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-4", "advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("apache-2", "apache", "licensed under the apache license version 2.0 the license you may not use this file except in compliance with the license"),
+    ("gpl-2", "either version", "either version 2 of the license or(?: at your option)? any later version"),
+    ("gpl-3", "either version", "either version 3 of the license or(?: at your option)? any later version"),
+    ("lgpl-2.1", "either version", "either version 2.1 of the license or(?: at your option)? any later version"),
+    ("mpl-2", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2.0"),
+    ("zlib", "held liable", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("cc0", "neighboring rights", "waived all copyright and related or neighboring rights"),
+    ("epl-2", "eclipse", "made available under the terms of the eclipse public license 2.0"),
+    ("proprietary", "confidential", "(?:proprietary and confidential|confidential and proprietary)"),
+    ("proprietary", "copying of this file", "unauthorized copying of this file via any medium is strictly prohibited"),
+]
 #: Names that state a license by themselves.
 BARE = ("general public", "lesser general", "library general", "affero", "mozilla public", "eclipse public", "creative commons", "public license",
         "public licence", "software license", "font license", "all rights reserved", "database license", "cddl", "cc0", "wtfpl", "distribution license")
@@ -121,6 +144,8 @@ def rules() -> list[tuple[int, str, int, float, str, str]]:
             forms.append((keyword, 1, 0.6, name))
         for gate, priority, score, body in forms:
             found.append((gate, priority, score, label, f"(?i)(?<!{IN_WORD}){_loose(body)}(?!{IN_WORD})"))
+    for label, keyword, words in SIGNATURES:
+        found.append((keyword, 3, 1.0, label, f"(?i)(?<!{IN_WORD}){_loose(words)}(?!{IN_WORD})"))
     return [(k, *rule) for k, rule in enumerate(found)]
 
 
