@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import fixtures
-from touchline import schemas
+from touchline import registry, schemas
 from touchline.plans.history import open_row_violations
 from touchline.sources import bronze, files, pages, seeds, tables
 from touchline.streaming import history as stream_history
@@ -130,6 +130,30 @@ def test_expected_goal_page(spark):
     assert pages.player_array(spark.createDataFrame([('{"players": [{"id": 1}]}',), ("{}",)], "body string")).collect() == [('[{"id":1}]',), ("[]",)]
 
 
+@pytest.mark.parametrize("name", ["page_expected_goals"])
+def test_pages_of_one_split_are_parsed_in_many_tasks(spark, name):
+    got = registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert got.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_plain_pages_are_read_as_the_parser_reads_them():
+    cells = "<tr><td>1 &amp; 2</td><TD class=\"x\">a<p> b </p><a href=\"/c?x=1&amp;id=3\">c</a><sup>+1</sup><br/></TD></tr>"
+    plain = f"<div><table class=\"nav\"><tr><td>no</td></tr></table></div><table class=\"big table\"><tbody>{cells}<tr></tr></tbody></table>"
+    odd = ["<!-- <table> -->", "<title>t</title>", "<script>'<table>'</script>", "<img src=a>", "a < b"]
+    parsed = []
+    for page in [plain, plain + "<!x <table", *[o + plain for o in odd]]:
+        parser = pages._FirstTable("table")
+        try:
+            parser.feed(page)
+        except pages._Ended:
+            pass
+        assert pages._table_rows(page, "table") == parser.rows
+        parsed.append(parser.rows)
+    assert pages._plain_rows(plain, "table") == parsed[0] and all(pages._plain_rows(o + plain, "table") is None for o in odd)
+    assert [len(r) for r in parsed[0]] == [2, 0] and parsed[0][0][1]["href"] == "/c?x=1&id=3"
+    assert pages._table_rows("<table><tbody><tr><td>open", "table") == [] and pages._table_rows("<p>none</p>", None) == []
+
+
 def test_stream_ingest_restarts_without_duplicates(spark, tmp_path):
     root, target, side = str(tmp_path / "raw"), str(tmp_path / "bronze"), str(tmp_path / "bad")
     fixtures.write_crawl(root)

@@ -267,7 +267,8 @@ def page_expected_goals(spark, sf):
     xpts = "if(o_orderstatus = 'F', '7.25<sup>-0.4</sup>', '7.25')"
     row = _td("'1'", "concat('<a href=\"t\">', o_orderpriority, '</a>')", *[f"'{v}'" for v in (2, 3, 4, 5, 6, 7, 8)], xg, "'-3.5'", xpts)
     html = f"concat('<table><tbody><tr>', {row}, '</tr></tbody></table>', {_DECOY})"
-    docs = table(spark, sf, "orders").select(F.col("o_orderkey").alias("page_id"), F.expr(html).alias("html"))
+    orders = pages.dealt(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"), "o_orderkey")
+    docs = orders.select(F.col("o_orderkey").alias("page_id"), F.expr(html).alias("html"))
     return _comparable(pages.expected_goal_rows(docs))
 
 

@@ -1,13 +1,15 @@
 """Tables out of crawled HTML pages.
 
 Splitting HTML into cells needs a parser, so that one step runs in Arrow batches next to the data;
-everything after it (cell choice, suffix strip, link parameters) is column expressions.
+everything after it (cell choice, suffix strip, link parameters) is column expressions. Parsing takes far longer
+per byte than reading: where the splits of a scan are few, deal the rows to more tasks first (``dealt``).
 """
 
 from __future__ import annotations
 
-import json
+import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -18,6 +20,20 @@ from touchline.functions.json import json_field, url_parameter
 from touchline.functions.numbers import strip_signed_suffix
 
 _CELL_ARRAY = "ARRAY<STRUCT<text:STRING,p:STRING,a:STRING,href:STRING,sup:BOOLEAN>>"
+_CELLS = pa.list_(pa.struct([("text", pa.string()), ("p", pa.string()), ("a", pa.string()), ("href", pa.string()), ("sup", pa.bool_())]))
+
+#: Text and the tag after it, in the plain form that leaves nothing to interpretation; anything else is the parser's.
+_PLAIN = re.compile(
+    r"([^<]*+)<(/?)([a-zA-Z][a-zA-Z0-9]*+)((?:[ \t\n\r\f]++[a-zA-Z][-a-zA-Z0-9]*+=\"(?:[^\"<>&]|&amp;)*+\")*+)[ \t\n\r\f]*+(/?)>"
+)
+_ATTRIBUTE = re.compile(r"([a-zA-Z][-a-zA-Z0-9]*)=\"([^\"]*)\"")
+_USED = frozenset(["table", "tbody", "tr", "td", "p", "a", "sup"])
+#: Elements whose content is, or in some versions of the parser may be, other than markup.
+_RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext".split())
+
+
+class _Ended(Exception):
+    """The wanted table is over; what follows it changes nothing."""
 
 
 class _FirstTable(HTMLParser):
@@ -62,7 +78,7 @@ class _FirstTable(HTMLParser):
         if tag == "table":
             self.depth -= 1
             if self.depth == 0:
-                self.state = "after"
+                raise _Ended
         elif tag == "tbody" and self.depth == 1:
             self.in_body = False
         elif tag == "td":
@@ -77,6 +93,47 @@ class _FirstTable(HTMLParser):
                 self.cell[tag] += data.strip()
 
 
+def _plain_rows(page: str, css_class: str | None) -> list | None:
+    """What ``_FirstTable`` finds, for pages that are plain as far as the table reaches; None for others."""
+    table, at = _FirstTable(css_class), 0
+    try:
+        while found := _PLAIN.match(page, at):
+            text, closing, tag, attrs, single = found.groups()
+            tag, at = tag.lower(), found.end()
+            if tag in _RAW or closing and (attrs or single):
+                return None
+            if text and table.cell is not None:
+                table.handle_data(unescape(text))
+            if tag not in _USED:
+                continue
+            if not closing:
+                table.handle_starttag(tag, [(k.lower(), unescape(v)) for k, v in _ATTRIBUTE.findall(attrs)] if attrs else [])
+            if closing or single:
+                table.handle_endtag(tag)
+    except _Ended:
+        return table.rows
+    return [] if at == len(page) and table.state == "before" else None
+
+
+def _table_rows(page: str, css_class: str | None) -> list:
+    rows = _plain_rows(page, css_class)
+    if rows is not None:
+        return rows
+    parser = _FirstTable(css_class)
+    try:
+        parser.feed(page)
+    except _Ended:
+        pass
+    return parser.rows
+
+
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by their ``keys`` to as many tasks as a shuffle has, or the cluster cores if those are more."""
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return rows.repartition(tasks, *keys)
+
+
 def table_cells(pages: DataFrame, html: str = "html", css_class: str | None = None) -> DataFrame:
     """Body rows of each page's first table: all page columns but the HTML, ``row_no`` and ``cells``."""
     kept = [c for c in pages.columns if c != html]
@@ -85,19 +142,17 @@ def table_cells(pages: DataFrame, html: str = "html", css_class: str | None = No
         for batch in batches:
             places, numbers, cells = [], [], []
             for place, page in enumerate(batch.column(html).to_pylist()):
-                parser = _FirstTable(css_class)
-                parser.feed(page or "")
-                places.extend([place] * len(parser.rows))
-                numbers.extend(range(len(parser.rows)))
-                cells.extend(json.dumps(row) for row in parser.rows)
+                rows = _table_rows(page or "", css_class)
+                places.extend([place] * len(rows))
+                numbers.extend(range(len(rows)))
+                cells.extend(rows)
             at = pa.array(places, pa.int64())
             columns = [batch.column(c).take(at) for c in kept]
-            columns += [pa.array(numbers, pa.int32()), pa.array(cells, pa.string())]
+            columns += [pa.array(numbers, pa.int32()), pa.array(cells, _CELLS)]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, "row_no", "cells"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name in kept]
-    rows = pages.mapInArrow(parse, ", ".join([*fields, "row_no INT", "cells STRING"]))
-    return rows.withColumn("cells", F.from_json("cells", _CELL_ARRAY))
+    return pages.mapInArrow(parse, ", ".join([*fields, "row_no INT", f"cells {_CELL_ARRAY}"]))
 
 
 def _cell(i: int, part: str = "text") -> Column:
