@@ -248,7 +248,8 @@ def page_league_rows(spark, sf):
     link = "if(p_size > 10, concat('<a href=\"/club?x=1&amp;club_id=', p_partkey, '#t\"><p> ', p_name, ' </p></a>'), concat('<p>', p_name, '</p>'))"
     row = _td("p_size", link, *[f"'{v}'" for v in (" 1 ", 2, 3, 4, 5, 6, -1, 9)])
     html = f"concat({_DECOY}, '<table class=\"big table\"><thead><tr><td>h</td></tr></thead><tbody><tr>', {row}, '</tr><tr><td>short</td></tr></tbody></table>')"
-    docs = table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), F.expr(html).alias("html"))
+    parts = pages.dealt(table(spark, sf, "part").select("p_partkey", "p_size", "p_name"), "p_partkey")
+    docs = parts.select(F.col("p_partkey").alias("page_id"), F.expr(html).alias("html"))
     return _comparable(pages.league_rows(docs))
 
 
