@@ -130,7 +130,7 @@ def test_expected_goal_page(spark):
     assert pages.player_array(spark.createDataFrame([('{"players": [{"id": 1}]}',), ("{}",)], "body string")).collect() == [('[{"id":1}]',), ("[]",)]
 
 
-@pytest.mark.parametrize("name", ["page_expected_goals", "page_league_rows"])
+@pytest.mark.parametrize("name", ["page_expected_goals", "page_league_rows", "page_scorer_rows"])
 def test_pages_of_one_split_are_parsed_in_many_tasks(spark, name):
     got = registry.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert got.select(F.spark_partition_id()).distinct().count() > 1

@@ -257,7 +257,8 @@ def page_league_rows(spark, sf):
 def page_scorer_rows(spark, sf):
     row = _td("concat('<p>', c_name, '</p>')", "c_nationkey", *[f"'{v}'" for v in ("-", 2, 3, 4, 5, 6)])
     html = f"concat('<table class=\"table\"><tbody><tr>', {row}, '</tr><tr>', {row.replace('<p>', '<b>')}, '</tr></tbody></table>')"
-    docs = table(spark, sf, "customer").select(F.col("c_custkey").alias("page_id"), F.col("c_mktsegment").alias("team"), F.expr(html).alias("html"))
+    players = pages.dealt(table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_name", "c_nationkey"), "c_custkey")
+    docs = players.select(F.col("c_custkey").alias("page_id"), F.col("c_mktsegment").alias("team"), F.expr(html).alias("html"))
     return _comparable(pages.scorer_rows(docs))
 
 
