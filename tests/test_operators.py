@@ -99,6 +99,14 @@ def test_valid_at_join_returns_every_overlapping_version(spark, rows):
     assert sorted((r.id, r.v) for r in got.collect()) == sorted(want) and len(want) > 1000
 
 
+def test_versions_of_many_lengths_need_few_lengths_of_bins(spark):
+    day = 86400 * 10**6
+    lengths = [1, 2, 3, 4, 5, 16, 17, 2**62] + [day * 2**n + e for n in range(12) for e in (-1, 0, 1)]
+    got = dict(spark.createDataFrame([(n,) for n in lengths], "n long").select("n", scans.bin_digits(F.col("n"))).collect())
+    assert all(2**d < 4 * n and n <= 4 * 2**d for n, d in got.items())
+    assert len({d for n, d in got.items() if day - 1 <= n < 2**60}) == 3  # each is a copy of every probe; twelve before
+
+
 def test_topk_limits_before_the_shuffle(spark):
     top = ranking.topk_per_key(events(spark), ["k"], [F.col("ts").desc(), F.col("id").desc()], 2)
     plan = top._jdf.queryExecution().executedPlan().toString()
