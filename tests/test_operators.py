@@ -46,6 +46,21 @@ def test_heavy_keys_are_cut_at_tie_breaks(spark, rows):
     assert rows(got, "k", "id", "position") == rows(want, "k", "id", "position")
 
 
+def test_parts_are_found_by_bisection(spark):
+    data = [("zero", n % 7, n) for n in range(2000)] + [("one", n, n) for n in range(5)] + [(None, 0, 0)]
+    df = spark.createDataFrame(data, "k string, points int, id int")
+    order = F.struct(*scans.falling("points"), F.col("id"))
+    cuts = scans.key_places(df, ["k"], order, places=13)
+    [(places,)] = cuts.select("_cuts").collect()
+    parts = scans._with_parts(df, ["k"], order, cuts, 13)
+    want = {n: sum((p[0], p[1], p[2]) < (False, -(n % 7), n) for p in places) for n in range(2000)}
+    assert {r.id: r._part for r in parts.filter("k = 'zero'").collect()} == want and len(places) > 8
+    assert parts.filter("_part is null").count() == 6
+    assert scans._with_parts(df, ["k"], order, cuts, 13, "inner").count() == 2000
+    plan = scans.rank_within(df, ["k"], [*scans.falling("points"), F.col("id")])._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "_order" not in plan.split("Window")[0]
+
+
 def test_rank_within_equals_row_number(spark, rows):
     df = events(spark)
     got = scans.rank_within(df, ["k"], [*scans.falling("x"), F.col("id")], places=9)

@@ -34,13 +34,24 @@ def _same(a: DataFrame, b: DataFrame, columns: Mapping[str, str]) -> Column:
     return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[v]) for k, v in columns.items()], F.lit(True))
 
 
+def _default_places(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _sort_first(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """``keys`` with texts last: a sort compares the start of its first key before anything else, and few texts differ there."""
+    types = dict(df.dtypes)
+    return sorted(keys, key=lambda k: types[k] in ("string", "boolean"))
+
+
 def key_places(df: DataFrame, keys: Sequence[str], order: Column, places: int | None = None) -> DataFrame:
     """Heavy keys (as ``_k0``, ``_k1`` ...) with the sorted order tuples ``_cuts`` they are cut at; at most ``places`` in all."""
-    places = places or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = places or _default_places(df)
     named = [F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]
     columns = [f"_k{i}" for i in range(len(keys))]
-    drawn = df.select(*named, order.alias("_order"), F.xxhash64(F.monotonically_increasing_id()).alias("_draw"))
-    sample = drawn.orderBy("_draw").limit(places * SAMPLES).drop("_draw")
+    drawn = df.withColumn("_draw", F.xxhash64(F.monotonically_increasing_id())).orderBy("_draw").limit(places * SAMPLES)
+    # order tuples are formed for the drawn rows only
+    sample = drawn.select(*named, order.alias("_order"))
     # a window over the sample only: its size is fixed
     ranked = sample.withColumn("_at", F.row_number().over(Window.orderBy(*columns, "_order")))
     chosen = ranked.filter(F.col("_at") % SAMPLES == 0).groupBy(*columns)
@@ -48,12 +59,21 @@ def key_places(df: DataFrame, keys: Sequence[str], order: Column, places: int |
     return cut_lineage(cuts.filter("_n >= 2").drop("_n"))
 
 
-def _with_parts(df: DataFrame, keys: Sequence[str], order: Column, cuts: DataFrame) -> DataFrame:
-    """``df`` with the number ``_part`` of the part of its key that a row lies in, NULL for keys that are not cut."""
+def _with_parts(
+    df: DataFrame, keys: Sequence[str], order: Column, cuts: DataFrame, places: int | None = None, how: str = "left"
+) -> DataFrame:
+    """``df`` with the number ``_part`` of the part of its key that a row lies in, NULL for keys that are not cut.
+
+    With ``how="inner"`` only rows of cut keys: where no key is cut, the join is empty at once and ``df`` is not read.
+    """
     on = _same(df, cuts, {k: f"_k{i}" for i, k in enumerate(keys)})
-    joined = df.withColumn("_order", order).join(F.broadcast(cuts), on, "left")
-    part = F.size(F.filter("_cuts", lambda c: c < F.col("_order")))
-    return joined.withColumn("_part", F.when(F.col("_cuts").isNotNull(), part)).drop("_cuts", *[f"_k{i}" for i in range(len(keys))])
+    joined = df.withColumn("_order", order).join(F.broadcast(cuts), on, how).withColumn("_part", F.lit(0))
+    # bisection: the number of places below the row, from its highest binary digit down
+    for digit in reversed(range((places or _default_places(df)).bit_length())):
+        below = F.get("_cuts", F.col("_part") + (2**digit - 1)) < F.col("_order")
+        joined = joined.withColumn("_part", F.col("_part") + F.when(below, 2**digit).otherwise(0))
+    joined = joined.withColumn("_part", F.when(F.col("_cuts").isNotNull(), F.col("_part")))
+    return joined.drop("_cuts", "_order", *[f"_k{i}" for i in range(len(keys))])
 
 
 def running_totals(
@@ -74,15 +94,18 @@ def running_totals(
     steps = {f"_m{i}": F.col(f"`{c}`") for i, c in enumerate(sums.values())}
     steps["_n"] = F.lit(1).cast("bigint")
     position = F.struct(*order)
+    measured, keys = df.withColumns(steps), _sort_first(df, keys)
     cuts = key_places(df, keys, position, places)
-    rows = _with_parts(df.withColumns(steps), keys, position, cuts)
-    totals = rows.filter("_part is not null").groupBy(*keys, "_part").agg(*[F.sum(m).alias(m) for m in steps])
+    rows = _with_parts(measured, keys, position, cuts, places)
+    heavy = _with_parts(measured, keys, position, cuts, places, "inner")
+    totals = heavy.groupBy(*keys, "_part").agg(*[F.sum(m).alias(m) for m in steps])
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(*_BEFORE)
     carry = totals.select(
         *[F.col(f"`{k}`").alias(f"_c{i}") for i, k in enumerate(keys)], F.col("_part").alias("_cp"),
         *[F.sum(m).over(before).alias(f"_b{m}") for m in steps],
     )
-    scan = Window.partitionBy(*keys, "_part").orderBy("_order").rowsBetween(*_UP_TO)
+    # by the values themselves: they are quicker to compare than tuples, and need not be shuffled
+    scan = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(*_UP_TO)
     within = rows.withColumns({m: F.sum(m).over(scan) for m in steps})
     on = _same(within, carry, {**{k: f"_c{i}" for i, k in enumerate(keys)}, "_part": "_cp"})
     joined = within.join(F.broadcast(carry), on, "left")
@@ -117,7 +140,7 @@ def as_of_join(
     ``tie_break`` orders facts of one time, the largest wins. Facts without a time are never met. Linear in probes + facts: no
     pair of a probe and a fact is formed.
     """
-    payload = [c for c in facts.columns if c not in keys]
+    payload, keys = [c for c in facts.columns if c not in keys], _sort_first(facts, keys)
     moved = facts.filter(F.col(fact_time).isNotNull()).select(
         *keys,
         F.struct(F.col(fact_time).alias("t"), F.lit(1).alias("kind"), F.struct(F.col(fact_time), *tie_break).alias("tie")).alias("_at"),
@@ -127,13 +150,14 @@ def as_of_join(
     # facts come before probes of the same instant
     asked = probes.select(
         *keys, F.struct(F.col(probe_time).alias("t"), F.lit(2).alias("kind"), no_tie.alias("tie")).alias("_at"),
-        F.struct(*[F.col(f"`{c}`") for c in probes.columns]).alias("_probe"),
+        F.struct(*[F.col(f"`{c}`") for c in probes.columns if c not in keys]).alias("_probe"),
     )
     stacked = moved.unionByName(asked, allowMissingColumns=True)
     cuts = key_places(stacked.select(*keys, "_at"), keys, F.col("_at"), places)
-    rows = _with_parts(stacked, keys, F.col("_at"), cuts)
+    rows = _with_parts(stacked, keys, F.col("_at"), cuts, places)
     names = [f"_k{i}" for i in range(len(keys))]
-    last = rows.filter("_part is not null and _fact is not null").groupBy(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)], "_part")
+    heavy = _with_parts(moved, keys, F.col("_at"), cuts, places, "inner")
+    last = heavy.groupBy(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)], "_part")
     last = last.agg(F.max_by("_fact", "_at").alias("_fact"))
     parts = cuts.select(*names, F.explode(F.sequence(F.lit(0), F.size("_cuts"))).alias("_part"))
     filled = parts.alias("p").join(last.alias("l"), _same(parts, last, {c: c for c in (*names, "_part")}), "left")
@@ -146,7 +170,8 @@ def as_of_join(
     within = rows.withColumn("_fact", F.last("_fact", ignorenulls=True).over(scan)).filter("_probe is not null")
     on = _same(within, carry, {**{k: f"_c{i}" for i, k in enumerate(keys)}, "_part": "_cp"})
     found = within.join(F.broadcast(carry), on, "left").withColumn("_fact", F.coalesce("_fact", "_carried"))
-    return found.select("_probe.*", *[F.col("_fact")[c].alias(c) for c in payload])
+    asked_for = [F.col(f"`{c}`") if c in keys else F.col("_probe")[c].alias(c) for c in probes.columns]
+    return found.select(*asked_for, *[F.col("_fact")[c].alias(c) for c in payload])
 
 
 def bin_digits(length: Column) -> Column:

@@ -69,7 +69,7 @@ def league_matches(results: DataFrame, standings: DataFrame, league: str, season
 
 def _ranked_tables(teams: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Zero-filled records ranked inside each table."""
-    rows = teams.join(stats, [*keys, "team_id"], "left").fillna(0, subset=RECORD)
+    rows = teams.join(stats, ["team_id", *keys], "left").fillna(0, subset=RECORD)
     return rank_within(cut_lineage(rows), keys, _table_order())
 
 
