@@ -104,12 +104,14 @@ def standings_from_results(
 def standings_at_dates(standings: DataFrame, by_matchday: DataFrame, dates: DataFrame) -> DataFrame:
     """R5 for many moments in one job: ``dates`` lists ``(league, season, as_of)``."""
     keys = ["league", "season"]
-    teams = standings.select(*keys, *TEAM_COLUMNS).distinct()
-    probes = dates.join(teams, keys)
+    # both are read by the sample of the as-of join and again by its scan
+    teams = cut_lineage(standings.select(*keys, *TEAM_COLUMNS).distinct())
+    probes = cut_lineage(dates).join(teams, keys)
     facts = by_matchday.select(*keys, "team_id", "utc_date", "source_match_id", *RECORD)
     found = as_of_join(probes, facts, [*keys, "team_id"], "as_of", "utc_date", ["source_match_id"])
     tables = [*keys, "as_of"]
-    ranked = rank_within(cut_lineage(found.fillna(0, subset=RECORD)), tables, _table_order())
+    filled = found.fillna(0, subset=RECORD).select(*tables, *TEAM_COLUMNS, *RECORD)
+    ranked = rank_within(cut_lineage(filled), tables, _table_order())
     return ranked.select(*tables, *TEAM_COLUMNS, "position", *RECORD)
 
 
