@@ -183,6 +183,14 @@ def test_every_license_rule_fires(spark):
     assert [(rules[k // 2][4], t, labels[k]) for k, t in texts if rules[k // 2][4] not in labels[k]] == []
 
 
+def test_words_that_only_contain_a_keyword_meet_no_rule(spark):
+    assert all(rule[6] or rule[1] == "confidential" for rule in licenses.rules())
+    texts = ["Limits permit discovery", None, "MIT and\tISC, 0BSD", "the General\n public; a general view, public", "\u0130 mit\u00e9 \u212apl"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = {r.doc_id: sorted(r.k) for r in df.select("doc_id", licenses.keywords(F.col("text")).alias("k")).collect()}
+    assert held == {0: [], 1: [], 2: ["bsd", "isc", "mit"], 3: ["general public"], 4: []}
+
+
 # --- surrogates
 
 

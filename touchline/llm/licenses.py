@@ -1,7 +1,7 @@
 """License scans by ordered signature rules behind a keyword prefilter.
 
-A text is scanned for a handful of keywords first; only texts with a keyword meet that keyword's rules. A rule is a regular
-expression with a label and a priority. Overlapping detections are resolved by containment: one that lies inside a detection
+A text is scanned for a handful of keywords first, by plain search in its lower-cased form and then by pattern; only texts with a
+keyword meet that keyword's rules, and of these only the ones whose own literal the text holds. A rule is a regular expression with a label and a priority. Overlapping detections are resolved by containment: one that lies inside a detection
 of higher priority, or of equal priority and larger extent, is dropped.
 
 The rules are a fixed table of names times the forms in which licenses are stated, and of sentences of license texts and notices,
@@ -14,7 +14,9 @@ empty table gives no rows; columns besides those named are not looked at.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -134,8 +136,17 @@ def _loose(pattern: str) -> str:
     return pattern.replace(".", r"\.").replace(" ?", f"{BETWEEN}*").replace("[- ]", f"{BETWEEN}+").replace(" ", f"{BETWEEN}+")
 
 
-def rules() -> list[tuple[int, str, int, float, str, str]]:
-    """Number, keyword, priority, score, label and pattern of every rule."""
+def _literal(pattern: str) -> str:
+    """The longest run of letters that every match of ``pattern`` holds, whatever its alternatives and options."""
+    plain = re.sub(r"\[[^\]]*\]\??", "|", pattern.replace("(?:", "("))
+    while "(" in plain:
+        plain = re.sub(r"\([^()]*\)\??", "|", plain)
+    plain = re.sub(r".\?", "|", plain)
+    return max(re.findall("[a-z]*", plain), key=len)
+
+
+def rules() -> list[tuple[int, str, int, float, str, str, str]]:
+    """Number, keyword, priority, score, label, pattern and literal of every rule."""
     found = []
     for label, keyword, name, spdx in NAMES:
         # a rule's keyword must lie in every text that its own pattern matches: SPDX ids need not contain the name's
@@ -143,24 +154,42 @@ def rules() -> list[tuple[int, str, int, float, str, str]]:
         if any(b in name or b in keyword for b in BARE):
             forms.append((keyword, 1, 0.6, name))
         for gate, priority, score, body in forms:
-            found.append((gate, priority, score, label, f"(?i)(?<!{IN_WORD}){_loose(body)}(?!{IN_WORD})"))
+            found.append((gate, priority, score, label, f"(?i)(?<!{IN_WORD}){_loose(body)}(?!{IN_WORD})", _literal(body)))
     for label, keyword, words in SIGNATURES:
-        found.append((keyword, 3, 1.0, label, f"(?i)(?<!{IN_WORD}){_loose(words)}(?!{IN_WORD})"))
+        found.append((keyword, 3, 1.0, label, f"(?i)(?<!{IN_WORD}){_loose(words)}(?!{IN_WORD})", _literal(words)))
     return [(k, *rule) for k, rule in enumerate(found)]
 
 
 def rule_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(rules(), "rule int, keyword string, priority int, score double, label string, pattern string")
+    return spark.createDataFrame(rules(), "rule int, keyword string, priority int, score double, label string, pattern string, literal string")
 
 
 KEYWORDS = sorted({rule[1] for rule in rules()})
-_KEYWORD_PATTERN = "(?i)" + "|".join(k.replace(" ", f"{BETWEEN}+") for k in sorted(KEYWORDS, key=lambda k: -len(k)))
+#: Keywords that stand as whole words in everything their rules match, though they lie inside many other words.
+_WORDS = ("mit", "isc")
+
+
+def lowered(text: Column) -> Column:
+    """``text`` with A-Z in lower case, as the patterns' own case folding takes it."""
+    return F.translate(text, ascii_uppercase, ascii_lowercase)
+
+
+def _held(low: Column) -> Column:
+    """``keywords`` of a lower-cased text: words sought plainly rule nearly all patterns out."""
+
+    def pattern(keyword: str) -> str:
+        return f"{keyword}(?<!{IN_WORD}{keyword})(?!{IN_WORD})" if keyword in _WORDS else keyword.replace(" ", f"{BETWEEN}+")
+
+    def held(keyword: str) -> Column:
+        found = reduce(lambda a, b: a & b, [low.contains(w) for w in keyword.split()])
+        return found if " " not in keyword and keyword not in _WORDS else found & low.rlike(pattern(keyword))
+
+    return F.array_compact(F.array(*[F.when(held(k), F.lit(k)) for k in KEYWORDS]))
 
 
 def keywords(text: Column) -> Column:
     """The rule keywords that ``text`` contains. Each is sought by itself, as one may lie inside another."""
-    held = [F.when(text.rlike("(?i)" + k.replace(" ", f"{BETWEEN}+")), F.lit(k)) for k in KEYWORDS]
-    return F.when(text.rlike(_KEYWORD_PATTERN), F.array_compact(F.array(*held))).otherwise(F.array().cast("array<string>"))
+    return let(lowered(text), _held)
 
 
 def count_words(text: Column) -> Column:
@@ -182,9 +211,10 @@ def phrase_starts(text: Column, phrase: str) -> Column:
 
 def detections(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Rule matches that no other match suppresses: ``doc_id``, ``content`` (hash of the text), label, score, start, stop."""
-    docs = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).filter(F.col("text").rlike(_KEYWORD_PATTERN))
-    gated = docs.withColumn("content", F.xxhash64("text")).withColumn("keyword", F.explode(keywords(F.col("text"))))
-    matched = gated.join(F.broadcast(rule_table(df.sparkSession)), "keyword").filter(F.expr("text rlike pattern"))
+    docs = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).withColumn("low", lowered(F.col("text")))
+    gated = docs.withColumn("content", F.xxhash64("text")).withColumn("keyword", F.explode(_held(F.col("low"))))
+    ruled = gated.join(F.broadcast(rule_table(df.sparkSession)), "keyword")
+    matched = ruled.filter(F.expr("contains(low, literal) and text rlike pattern"))
     pieces = F.expr("split(text, pattern, -1)")
     # offsets as in common.matches, for a pattern that is a column
     placed = matched.select("doc_id", "content", "rule", "priority", "score", "label", "pattern", pieces.alias("pieces"), F.expr("regexp_extract_all(text, pattern, 0)").alias("found"))
