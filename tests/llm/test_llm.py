@@ -348,6 +348,18 @@ def test_byte_pairs_match_the_library(spark, docs, empty):
     assert bpe.encode(empty, path).count() == 0
 
 
+def test_byte_pairs_send_python_only_their_column(spark, docs):
+    """Other columns stay in Spark and values travel by the hundred rows, not as Arrow batches of whole rows."""
+    path = tokenizer_path()
+    made = bpe.decode(bpe.encode(docs, path).withColumn("packed", F.col("ids")), path)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "InArrow" not in plan and re.findall(r"BatchEvalPython \[[^(]*\((\w+)#", plan) == ["ids", "text"]
+    assert made.columns == ["doc_id", "source", "size", "row", "content", "node", "packed", "text"]
+    odd = [("\0 zero \0", 1), ("🙂" * 500, 2), (None, None), ("", 4), ("x\r\n\u2028 é", 5)]
+    back = bpe.decode(bpe.encode(spark.createDataFrame(odd, "`a.text` string, `b.c` long"), path, "a.text", "the.ids"), path, "the.ids", "a.text")
+    assert by_id(back, "b.c", "a.text") == sorted(((k, t or "") for t, k in odd), key=str)
+
+
 def test_lookahead_holds_for_small_merge_lists():
     """Streaming through windows gives the tokens of the whole for random merge lists and texts."""
     rng = random.Random(8)

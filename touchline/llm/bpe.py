@@ -18,7 +18,6 @@ import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -182,26 +181,22 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def _mapped(df: DataFrame, column: str, kind: pa.DataType, name: str, spark_type: T.DataType, make) -> DataFrame:
-    """``df`` with ``column`` replaced by ``name`` = ``make(value)``; a few rows per Arrow batch, as values may be long."""
-    kept = [c for c in df.columns if c != column and c != name]
-    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(name, spark_type)])
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                values = pa.array((make(v.as_py()) for v in part.column(column)), kind)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), values], [*kept, name])
+def _mapped(df: DataFrame, column: str, name: str, kind: T.DataType, make) -> DataFrame:
+    """``df`` with ``column`` replaced by ``name`` = ``make(value)``.
 
-    return df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`")).mapInArrow(run, schema)
+    Only that column goes to Python, pickled by the hundred rows; Arrow batches would take all columns both ways by the ten thousand,
+    which long values make large. Marked as not deterministic so that no plan evaluates it twice.
+    """
+    kept = [c for c in df.columns if c != column and c != name]
+    made = F.udf(make, kind, useArrow=False).asNondeterministic()
+    return df.select(*[F.col(f"`{c}`") for c in kept], made(F.col(f"`{column}`")).alias(name))
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the text replaced by its packed token ids (binary)."""
-    return _mapped(df, text, pa.binary(), ids, T.BinaryType(), lambda v: b"".join(codec(path).encode(v or "")))
+    return _mapped(df, text, ids, T.BinaryType(), lambda v: b"".join(codec(path).encode(v or "")))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``df`` with packed token ids replaced by the text they stand for."""
-    return _mapped(df, ids, pa.string(), text, T.StringType(), lambda v: "".join(codec(path).decode(v or b"")))
+    return _mapped(df, ids, text, T.StringType(), lambda v: "".join(codec(path).decode(v or b"")))
