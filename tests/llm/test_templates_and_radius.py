@@ -105,3 +105,30 @@ def test_within_radius_lists_classes(spark):
     assert sorted((r.near_id, r["rows"], r.distance) for r in got) == [(1, 2, 0), (9, 1, 2)]
     with pytest.raises(ValueError):
         simhash.within_radius(marks, marks, radius=16)
+
+
+def test_search_broadcasts_no_table_larger_than_allowed(spark):
+    """A small table of fingerprints becomes 136 rows each: 0.2 MB known to Spark, some 40 MB to look up."""
+    rng = random.Random(8)
+    marks = spark.createDataFrame([(k, f"{rng.getrandbits(128):032x}") for k in range(3000)], "doc_id long, fingerprint string")
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "10m", "spark.sql.maxBroadcastTableSize": "16m"}
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        found = simhash.within_radius(marks, marks).select("fingerprint", "near", "distance").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(found) == sorted((r.fingerprint, r.fingerprint, 0) for r in marks.collect())
+
+
+def test_places_are_drawn_on_the_executors(spark):
+    """The driver gets the rows drawn and no more; the first rows of a sorted table are sent to it by every task."""
+    docs = spark.range(5000).selectExpr("id AS doc_id", "xxhash64(id) AS tie", "id AS row").repartition(40)
+    drawn = simhash._drawn(docs, 200)
+    assert "TakeOrdered" not in drawn._jdf.queryExecution().executedPlan().toString()
+    rows = drawn.collect()
+    assert 190 <= len(rows) <= 200 and len({r.row for r in rows}) == len(rows) and all(r.doc_id == r.row for r in rows)
+    places = simhash._places(docs, 10)
+    assert len(places) == 9 and places == sorted(places) and all(100 < p[1] < 4900 for p in places)

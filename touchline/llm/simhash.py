@@ -107,11 +107,18 @@ def _edited(text: str, following: str) -> str:
 
 def _places(docs: DataFrame, ranges: int) -> list[tuple]:
     """Where the sorted table (null ids last, then id, text hash, row) is cut, from a sample of fixed size per range."""
-    drawn = docs.select("doc_id", "tie", "row", F.xxhash64("row", F.lit(11)).alias("draw")).orderBy("draw").limit(20 * ranges)
-    sample = sorted(_rank(r.doc_id, r.tie, r.row) for r in drawn.collect())
+    sample = sorted(_rank(r.doc_id, r.tie, r.row) for r in _drawn(docs, 20 * ranges).collect())
     return sorted({sample[len(sample) * k // ranges] for k in range(1, ranges)}) if sample else []
 
 
+def _drawn(docs: DataFrame, most: int) -> DataFrame:
+    """Up to ``most`` rows drawn evenly: rows are dealt to as many slots and each keeps the least draw. Tasks meet by slot on the executors;
+    the first rows of a sorted table would be sent to the driver by every task."""
+    draw = F.xxhash64("row", F.lit(11))
+    dealt = docs.select(F.pmod(F.xxhash64("row", F.lit(12)), F.lit(most)).alias("slot"), draw.alias("draw"), "doc_id", "tie", "row")
+    return dealt.groupBy("slot").agg(*[F.min_by(c, "draw").alias(c) for c in ("doc_id", "tie", "row")])
+
+
 def _rank(doc_id: int | None, tie: int, row: int) -> tuple:
     return (doc_id is None, doc_id or 0, tie, row)
 
@@ -215,6 +222,9 @@ def within_radius(marks: DataFrame, wanted: DataFrame, radius: int = RADIUS, blo
     All are found: of two fingerprints that differ in fewer than ``2 * blocks`` bits, some block differs in one bit at most. Table
     ``k`` is keyed by block ``k``; a query looks up its own block there and all values one bit off. The distance is part
     of the join condition, and a pair counts in the first table that holds it, so pairs are neither listed twice nor shuffled.
+
+    Every query becomes ``blocks * (1 + bits of a block)`` rows, of which Spark's sizes know nothing: they are cut by number rather than
+    by size, and the join is hinted to merge, as the sizes would have it broadcast them.
     """
     if radius >= 2 * blocks or BITS // 4 % blocks:
         raise ValueError(f"{blocks} blocks find distances below {2 * blocks} only, and must divide {BITS // 4} digits")
@@ -224,12 +234,13 @@ def within_radius(marks: DataFrame, wanted: DataFrame, radius: int = RADIUS, blo
     values = lambda c: F.array(*[_block(F.col(c), k, blocks) for k in range(blocks)])
     keyed = stock.select(F.col("fingerprint").alias("near"), "near_id", "rows", values("fingerprint").alias("theirs"))
     keyed = keyed.select("*", F.posexplode("theirs").alias("table", "value"))
-    asked = wanted.select("fingerprint").distinct().select("fingerprint", values("fingerprint").alias("ours"))
+    parts = int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = wanted.select("fingerprint").distinct().repartition(parts).select("fingerprint", values("fingerprint").alias("ours"))
     flips = F.array(F.lit(0), *[F.lit(1 << k) for k in range(width)])
     asking = asked.select("fingerprint", "ours", F.posexplode("ours").alias("table", "own"))
     asking = asking.select("*", F.explode(F.transform(flips, lambda f: F.col("own").bitwiseXOR(f))).alias("value")).drop("own")
     apart = F.zip_with("ours", "theirs", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    near = asking.join(keyed, ["table", "value"])
+    near = keyed.join(asking.hint("merge"), ["table", "value"])
     near = near.withColumn("apart", apart).filter(F.aggregate("apart", F.lit(0), lambda a, x: a + x) <= radius)
     first = F.array_position(F.transform("apart", lambda n: n <= 1), True) == F.col("table") + 1
     return near.filter(first).select("fingerprint", "near", "near_id", "rows", F.aggregate("apart", F.lit(0), lambda a, x: a + x).alias("distance"))
